@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from chatloom.functions.text import slugify, stable_alias
 from chatloom.operators.sequence import ordinal, running_total
 from chatloom.plans.options import JobOptions
-from chatloom.plans.staging import stage
+from chatloom.plans.staging import stage, stage_counted
 from chatloom.plans.workspace import Workspace
 
 # A numbered name: stem, dash, number without leading zeros.
@@ -29,9 +29,9 @@ def unique_slugs(
     plain repeats without numbered rivals need no round at all.
     """
     keys = [*scope, "_base"]
-    rows = ordinal(df.withColumn("_base", slugify(F.col(name))), keys, position, "_nth")
-    bases = rows.groupBy(*keys).agg(F.count("*").alias("_n"), F.min(position).alias("_t"))
-    pairs = _rival_pairs(rows, bases, keys, scope, position)
+    based = df.withColumn("_base", slugify(F.col(name)))
+    rows = ordinal(based, keys, position, "_nth")
+    pairs = _rival_pairs(based, keys, scope, position)
     if pairs is None:
         suffix = F.col("_nth") - 1
         return _named(rows, suffix, df.columns, out)
@@ -62,9 +62,10 @@ def _named(rows: DataFrame, suffix: Column, columns: Sequence[str], out: str) ->
 
 
 def _rival_pairs(
-    rows: DataFrame, bases: DataFrame, keys: Sequence[str], scope: Sequence[str], position: str
+    rows: DataFrame, keys: Sequence[str], scope: Sequence[str], position: str
 ) -> DataFrame | None:
     """(base, child ``base-k``) pairs that can matter, or None when there are none."""
+    bases = rows.groupBy(*keys).agg(F.count("*").alias("_n"), F.min(position).alias("_t"))
     numbered = bases.select(
         *scope,
         F.col("_base").alias("_child"),
@@ -75,7 +76,9 @@ def _rival_pairs(
     pairs = numbered.join(bases.drop("_t"), keys).select(
         *keys, "_child", "_child_t", F.col("_digits").cast("bigint").alias("_k"), "_n"
     )
-    pairs = stage(pairs, "rivals")
+    pairs, count = stage_counted(pairs, "rivals", F.lit(True))
+    if count == 0:
+        return None
     # A base that occurs once and lost no name itself never goes past its own slug.
     children = pairs.select(*scope, F.col("_child").alias("_base")).withColumn("_is_child", F.lit(True))
     pairs = pairs.join(children, keys, "left")
@@ -114,9 +117,10 @@ def _solve_skips(pairs: DataFrame, keys: Sequence[str], scope: Sequence[str]) ->
         joined = counted.join(parent, keys, "left")
         shift = F.coalesce("_shift", F.lit(0))
         need = F.col("_k") - shift + 1 - F.col("_below") > F.col("_before")
-        updated = stage(joined.withColumn("_next", need), "skips")
-        changed = updated.filter(F.col("_next") != F.col("_skip"))
-        if changed.isEmpty():
+        updated, changed = stage_counted(
+            joined.withColumn("_next", need), "skips", F.col("_next") != F.col("_skip")
+        )
+        if changed == 0:
             return flags
         flags = updated.select(*pairs.columns, F.col("_next").alias("_skip"))
 

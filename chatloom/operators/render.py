@@ -25,7 +25,7 @@ from chatloom.operators import membership, naming, threads
 from chatloom.operators.sequence import position_in_group
 from chatloom.operators.usernames import redact_usernames
 from chatloom.plans.options import JobOptions
-from chatloom.plans.staging import stage
+from chatloom.plans.staging import stage, together
 from chatloom.plans.workspace import Workspace
 
 # Texts and codes of the target format.
@@ -45,11 +45,12 @@ class SlugMaps:
 
 def build_maps(ws: Workspace, opts: JobOptions) -> SlugMaps:
     """Slug maps, staged: every record type joins them."""
-    return SlugMaps(
-        users=stage(naming.user_slugs(ws, opts), "user-slugs"),
-        teams=stage(naming.team_slugs(ws), "team-slugs"),
-        channels=stage(naming.channel_slugs(ws), "channel-slugs"),
+    users, teams, channels = together(
+        lambda: stage(naming.user_slugs(ws, opts), "user-slugs"),
+        lambda: stage(naming.team_slugs(ws), "team-slugs"),
+        lambda: stage(naming.channel_slugs(ws), "channel-slugs"),
     )
+    return SlugMaps(users, teams, channels)
 
 
 def render_teams(ws: Workspace, maps: SlugMaps) -> DataFrame:
@@ -142,10 +143,14 @@ def anonymize(
 
 
 def render_posts(
-    ws: Workspace, maps: SlugMaps, opts: JobOptions, outcome: DataFrame | None = None
+    ws: Workspace,
+    maps: SlugMaps,
+    opts: JobOptions,
+    outcome: DataFrame | None = None,
+    threaded: DataFrame | None = None,
 ) -> DataFrame:
     """Channel posts with their thread order columns and, for replies, the root's id."""
-    posts = threads.with_threads(ws.posts, opts)
+    posts = threaded if threaded is not None else threads.with_threads(ws.posts, opts)
     posts = posts.join(maps.teams, "team_name").join(maps.channels, ["team_name", "channel_name"])
     own_id = threads.import_id(F.col("team_slug"), F.col("channel_slug"), F.col("source_key"), opts)
     root_id = threads.import_id(F.col("team_slug"), F.col("channel_slug"), F.col("root_key"), opts)
@@ -229,9 +234,13 @@ def with_direct_id(ws: Workspace, opts: JobOptions) -> DataFrame:
 
 
 def render_direct_posts(
-    ws: Workspace, maps: SlugMaps, opts: JobOptions, outcome: DataFrame | None = None
+    ws: Workspace,
+    maps: SlugMaps,
+    opts: JobOptions,
+    outcome: DataFrame | None = None,
+    indexed: DataFrame | None = None,
 ) -> DataFrame:
-    posts = with_direct_id(ws, opts)
+    posts = indexed if indexed is not None else with_direct_id(ws, opts)
     posts = naming.resolve_username(posts, "username", maps.users, opts, "user")
     posts = posts.join(
         resolved_members(ws, maps, opts).withColumnRenamed("members", "channel_members"), "d_idx"
@@ -272,7 +281,12 @@ def all_records(
     ws: Workspace, opts: JobOptions, outcome: DataFrame | None = None, maps: SlugMaps | None = None
 ) -> DataFrame:
     """Every record: order columns, ``type`` and one nullable struct per type."""
-    maps = maps or build_maps(ws, opts)
+    found, threaded, indexed = together(
+        lambda: maps or build_maps(ws, opts),
+        lambda: threads.with_threads(ws.posts, opts),
+        lambda: with_direct_id(ws, opts),
+    )
+    maps = found
     none = F.lit(None)
     version = (
         ws.teams.sparkSession.range(1)
@@ -304,12 +318,12 @@ def all_records(
             [F.col("t_idx"), F.col("c_idx")],
         ),
         _record(render_users(ws, maps, opts), "user", user_fields, [F.col("u_idx")]),
-        _record(render_posts(ws, maps, opts, outcome), "post", post_fields, post_order),
+        _record(render_posts(ws, maps, opts, outcome, threaded), "post", post_fields, post_order),
         _record(
             render_direct_channels(ws, maps, opts), "direct_channel", ["members"], [F.col("d_idx")]
         ),
         _record(
-            render_direct_posts(ws, maps, opts, outcome),
+            render_direct_posts(ws, maps, opts, outcome, indexed),
             "direct_post",
             direct_fields,
             [F.col("d_idx"), F.col("index"), none],

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def stage_dir(spark: SparkSession) -> str:
@@ -37,3 +40,16 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     path = stage_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_counted(df: DataFrame, label: str, condition: Column) -> tuple[DataFrame, int]:
+    """Like ``stage``, and count the rows that meet ``condition`` while writing."""
+    seen = Observation()
+    staged = stage(df.observe(seen, F.count_if(condition).alias("rows")), label)
+    return staged, seen.get["rows"]
+
+
+def together(*builds: Callable[[], DataFrame]) -> list[DataFrame]:
+    """Run independent builds at the same time, so that their jobs share the cluster."""
+    with ThreadPoolExecutor(max_workers=len(builds)) as pool:
+        return [job.result() for job in [pool.submit(build) for build in builds]]

@@ -8,7 +8,7 @@ from pyspark.sql import Window
 
 from chatloom.operators.render import ORDER, json_lines
 from chatloom.operators.sequence import global_index, running_total
-from chatloom.plans.staging import stage
+from chatloom.plans.staging import stage, stage_counted
 
 VERSION_LINE = '{"type": "version", "version": 1}'  # fixed value: heads every part
 MEGABYTE = 1 << 20
@@ -81,8 +81,10 @@ def part_numbers(batches: DataFrame, limit: int) -> DataFrame:
     jumps = stage(_next_starts(sized, limit), "jumps")
     starts = sized.filter("batch = 0").select("batch")
     while True:
-        fresh = stage(starts.join(jumps, "batch").select(F.col("nxt").alias("batch")), "starts")
-        if fresh.isEmpty():
+        fresh, count = stage_counted(
+            starts.join(jumps, "batch").select(F.col("nxt").alias("batch")), "starts", F.lit(True)
+        )
+        if count == 0:
             break
         starts = starts.unionByName(fresh)
         onward = jumps.select(F.col("batch").alias("nxt"), F.col("nxt").alias("_nxt"))
