@@ -101,9 +101,9 @@ def increase(
     range_minutes: int,
     tie: str = "event_id",
 ) -> DataFrame:
-    """(by…, at, increase): counter growth over the range ending at each minute ``at``.
+    """(by…, minute, increase): counter growth over the range ending at each ``minute``.
 
-    A step counts where both its samples lie in (at - range, at].
+    A step counts where both its samples lie in (minute - range, minute].
     """
     steps = counter_steps(samples, series, tie).filter(F.col("step").isNotNull())
     first = F.timestamp_seconds(F.ceil(F.unix_timestamp("ts") / 60) * 60)
@@ -113,8 +113,8 @@ def increase(
     # Evaluation minutes that still see the earlier sample; none when the gap is too wide.
     minutes = F.when(first <= last, F.sequence(first, last, F.expr("INTERVAL 1 MINUTE")))
     return (
-        steps.select(*by, "step", F.explode(minutes).alias("at"))
-        .groupBy(*by, "at")
+        steps.select(*by, "step", F.explode(minutes).alias("minute"))
+        .groupBy(*by, "minute")
         .agg(F.sum("step").alias("increase"))
     )
 
@@ -127,10 +127,10 @@ def increase_alert(samples: DataFrame, series: Sequence[str], by: Sequence[str],
 def rate_by_label(
     samples: DataFrame, series: Sequence[str], label: str, range_minutes: int = 5
 ) -> DataFrame:
-    """(label, at, rate): per-second growth summed over the series of a non-empty label."""
+    """(label, minute, rate): per-second growth summed over the series of a non-empty label."""
     labelled = samples.filter(F.col(label) != "")
     return increase(labelled, series, [label], range_minutes).select(
-        label, "at", (F.col("increase") / (range_minutes * 60)).alias("rate")
+        label, "minute", (F.col("increase") / (range_minutes * 60)).alias("rate")
     )
 
 

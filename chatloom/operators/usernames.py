@@ -52,27 +52,25 @@ def _name_table(users: DataFrame, salt: str) -> DataFrame:
     )
 
 
+def _windows(words: Column, width: int) -> Column:
+    """Every run of ``width`` neighbouring words, joined by single spaces."""
+    starts = F.when(
+        F.size(words) >= width, F.sequence(F.lit(1), F.size(words) - (width - 1))
+    ).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.array_join(F.slice(words, i, width), " "))
+
+
 def _runs(text: Column, widths: Sequence[int]) -> Column:
     """Distinct (width, key) of every word run whose width some name has."""
     words = _words(text)
-    parts = []
-    for width in widths:
-        if width == 0:
-            keys = _gaps(text)
-        elif width == 1:
-            keys = words
-        else:
-            starts = F.when(
-                F.size(words) >= width, F.sequence(F.lit(1), F.size(words) - (width - 1))
-            ).otherwise(F.array().cast("array<int>"))
-            keys = F.transform(starts, lambda i, w=width: F.array_join(F.slice(words, i, w), " "))
-        parts.append(
-            F.transform(
-                F.array_distinct(keys),
-                lambda k, w=width: F.struct(F.lit(w).alias("width"), k.alias("key")),
-            )
+
+    def tagged(width: int) -> Column:
+        keys = _gaps(text) if width == 0 else words if width == 1 else _windows(words, width)
+        return F.transform(
+            F.array_distinct(keys), lambda k: F.struct(F.lit(width).alias("width"), k.alias("key"))
         )
-    return F.concat(*parts)
+
+    return F.concat(*[tagged(width) for width in widths])
 
 
 def _candidates(texts: DataFrame, key: str, column: str, names: DataFrame, widths: Sequence[int]) -> DataFrame:

@@ -250,7 +250,7 @@ def name_list(spark: SparkSession, folder: str) -> DataFrame:
     """Workspace users named like the first words of the benchmark texts."""
     return _read("benchmark", spark, folder).select(
         F.col("item_id").alias("u_idx"),
-        F.regexp_extract("text", r"^(\w+)", 1).alias("username"),
+        F.regexp_extract("text", r"(?U)^(\w+)", 1).alias("username"),
     )
 
 
