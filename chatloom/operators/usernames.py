@@ -93,25 +93,38 @@ def _fold(text: Column, cands: Column) -> Column:
     )
 
 
+def _fits_alias(words: Column) -> Column:
+    """Whether a name with these words could match inside or across an inserted alias.
+
+    An alias is the word "user" and a word of twelve hex digits. A name has to contain
+    one of them, with the other beside it unless the name ends there.
+    """
+    def is_hex(word: Column) -> Column:
+        return word.rlike("^[0-9a-f]{12}$")
+
+    def fits(word: Column, i: Column) -> Column:
+        after, before = F.get(words, i + 1), F.get(words, i - 1)
+        return ((word == "user") & (after.isNull() | is_hex(after))) | (
+            is_hex(word) & (before.isNull() | (before == "user"))
+        )
+
+    return F.exists(F.transform(words, fits), lambda found: found)
+
+
 def redact_usernames(
     df: DataFrame, key: str, column: str, users: DataFrame, salt: str = DEFAULT_SALT
 ) -> DataFrame:
     """Rewrite ``column``; ``key`` must identify rows of ``df``.
 
     The result equals applying every user's pattern in user order, one after another.
-    An inserted alias can itself contain a later name only when that name holds the
-    word "user" or twelve hex digits; workspaces with such names take one name per
-    round and look again, so names inside inserted aliases are found too.
+    An inserted alias can hold a later name, though only one built like an alias itself.
+    Workspaces with such names take one name per round and look again, so names inside
+    inserted aliases are found too.
     """
     names = stage(_name_table(users, salt), "names")
     shape = names.agg(
         F.sort_array(F.collect_set("width")).alias("widths"),
-        F.coalesce(
-            F.bool_or(
-                F.exists("words", lambda w: (w == "user") | w.rlike("^[0-9a-f]{12}$"))
-            ),
-            F.lit(False),
-        ).alias("nested"),
+        F.coalesce(F.bool_or(_fits_alias(F.col("words"))), F.lit(False)).alias("nested"),
     ).first()
     # Distinct word counts of names: a handful of small integers.
     widths = list(shape.widths)
@@ -141,7 +154,7 @@ def _redact_stepwise(
         cands = _candidates(live, key, "text", names, widths)
         # The first later name that really matches decides this round.
         matching = F.filter(
-            "cands", lambda c: (c["rank"] > F.col("last")) & F.col("text").rlike(c["pattern"])
+            "cands", lambda c: (c["rank"] > F.col("last")) & F.rlike("text", c["pattern"])
         )
         step = live.join(cands, key, "left").withColumn("pick", F.try_element_at(matching, F.lit(1)))
         step = stage(
