@@ -18,6 +18,7 @@ from chatloom.functions.text import (
     member_key,
     non_empty,
     normalize_email,
+    redact,
     redact_or_scrub,
 )
 from chatloom.operators import attachments as att
@@ -130,24 +131,42 @@ def anonymize(
 ) -> DataFrame:
     """Block words, pattern rules, then usernames; blocked and empty texts stay as they are.
 
-    A blocked text is final: its marker goes through no further rule.
+    A blocked text is final: its marker goes through no further rule. The cleaned texts
+    are staged, as matching and rewriting names would otherwise clean them twice.
     """
     if users is None:
         return df.withColumn(column, redact_or_scrub(F.col(column)))
-    cleaned = df.withColumn("_blocked", has_block_word(F.col(column))).withColumn(
-        column, redact_or_scrub(F.col(column))
+    blocked = has_block_word(F.col(column))
+    cleaned = df.withColumns(
+        {column: redact_or_scrub(F.col(column)), "_open": F.when(~blocked, redact(F.col(column)))}
     )
-    cleaned = cleaned.withColumn("_open", F.when(~F.col("_blocked"), F.col(column)))
-    named = redact_usernames(cleaned, key, "_open", users, opts.salt)
+    # Text is kept once: either open to names or final.
+    cleaned = cleaned.withColumn(column, F.when(F.col("_open").isNull(), F.col(column)))
+    named = redact_usernames(stage(cleaned, "cleaned"), key, "_open", users, opts.salt)
     return named.withColumn(column, F.coalesce("_open", column)).select(*df.columns)
 
 
+def clean_messages(posts: DataFrame, keys: list[str], ws: Workspace, opts: JobOptions) -> DataFrame:
+    """(keys, clean): anonymised messages of posts, staged for the join with the rest."""
+    texts = posts.select(*keys, F.struct(*keys).alias("_row"), F.col("message").alias("clean"))
+    return stage(anonymize(texts, "_row", "clean", ws.users, opts).drop("_row"), "messages")
+
+
+POST_KEYS = ["t_idx", "c_idx", "p_idx"]
+DIRECT_KEYS = ["d_idx", "p_idx"]
+
+
+def _with_clean(posts: DataFrame, keys: list[str], clean: DataFrame) -> DataFrame:
+    return posts.drop("message").join(clean, keys).withColumnRenamed("clean", "message")
+
+
 def render_posts(
     ws: Workspace,
     maps: SlugMaps,
     opts: JobOptions,
     outcome: DataFrame | None = None,
     threaded: DataFrame | None = None,
+    clean: DataFrame | None = None,
 ) -> DataFrame:
     """Channel posts with their thread order columns and, for replies, the root's id."""
     posts = threaded if threaded is not None else threads.with_threads(ws.posts, opts)
@@ -162,10 +181,10 @@ def render_posts(
         ),
     )
     posts = naming.resolve_username(posts, "username", maps.users, opts, "user")
-    posts = _deliver(posts, ["t_idx", "c_idx", "p_idx"], outcome)
+    posts = _deliver(posts, POST_KEYS, outcome)
     if opts.anonymize:
-        posts = posts.withColumn("_row", F.struct("t_idx", "c_idx", "p_idx"))
-        posts = anonymize(posts, "_row", "message", ws.users, opts)
+        clean = clean if clean is not None else clean_messages(ws.posts, POST_KEYS, ws, opts)
+        posts = _with_clean(posts, POST_KEYS, clean)
     return posts.select(
         "t_idx",
         "c_idx",
@@ -239,16 +258,17 @@ def render_direct_posts(
     opts: JobOptions,
     outcome: DataFrame | None = None,
     indexed: DataFrame | None = None,
+    clean: DataFrame | None = None,
 ) -> DataFrame:
     posts = indexed if indexed is not None else with_direct_id(ws, opts)
     posts = naming.resolve_username(posts, "username", maps.users, opts, "user")
     posts = posts.join(
         resolved_members(ws, maps, opts).withColumnRenamed("members", "channel_members"), "d_idx"
     )
-    posts = _deliver(posts, ["d_idx", "p_idx"], outcome)
+    posts = _deliver(posts, DIRECT_KEYS, outcome)
     if opts.anonymize:
-        posts = posts.withColumn("_row", F.struct("d_idx", "p_idx"))
-        posts = anonymize(posts, "_row", "message", ws.users, opts)
+        clean = clean if clean is not None else clean_messages(ws.direct_posts, DIRECT_KEYS, ws, opts)
+        posts = _with_clean(posts, DIRECT_KEYS, clean)
     return posts.select(
         "d_idx",
         "p_idx",
@@ -281,12 +301,17 @@ def all_records(
     ws: Workspace, opts: JobOptions, outcome: DataFrame | None = None, maps: SlugMaps | None = None
 ) -> DataFrame:
     """Every record: order columns, ``type`` and one nullable struct per type."""
-    found, threaded, indexed = together(
+    builds = [
         lambda: maps or build_maps(ws, opts),
         lambda: threads.with_threads(ws.posts, opts),
         lambda: with_direct_id(ws, opts),
-    )
+    ]
+    if opts.anonymize:
+        builds.append(lambda: clean_messages(ws.posts, POST_KEYS, ws, opts))
+        builds.append(lambda: clean_messages(ws.direct_posts, DIRECT_KEYS, ws, opts))
+    found, threaded, indexed, *cleaned = together(*builds)
     maps = found
+    clean, clean_direct = cleaned or (None, None)
     none = F.lit(None)
     version = (
         ws.teams.sparkSession.range(1)
@@ -318,12 +343,12 @@ def all_records(
             [F.col("t_idx"), F.col("c_idx")],
         ),
         _record(render_users(ws, maps, opts), "user", user_fields, [F.col("u_idx")]),
-        _record(render_posts(ws, maps, opts, outcome, threaded), "post", post_fields, post_order),
+        _record(render_posts(ws, maps, opts, outcome, threaded, clean), "post", post_fields, post_order),
         _record(
             render_direct_channels(ws, maps, opts), "direct_channel", ["members"], [F.col("d_idx")]
         ),
         _record(
-            render_direct_posts(ws, maps, opts, outcome, indexed),
+            render_direct_posts(ws, maps, opts, outcome, indexed, clean_direct),
             "direct_post",
             direct_fields,
             [F.col("d_idx"), F.col("index"), none],
