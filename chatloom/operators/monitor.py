@@ -22,7 +22,8 @@ LOG_SCHEMA = (
     "timestamp string, level string, logger string, service string, correlation_id string, "
     "message string, event string, details map<string,string>"
 )
-DAY = 86_400
+# Long series are cut into spans of this many seconds; one span's samples go to one task.
+SPAN_SECONDS = 600
 
 
 def counters(df: DataFrame, *labels: str, out: str = "total") -> DataFrame:
@@ -79,14 +80,14 @@ def select_series(samples: DataFrame, metric: str, **labels: str) -> DataFrame:
     return picked
 
 
-def _day(ts: str = "ts") -> Column:
-    return F.floor(F.unix_timestamp(ts) / DAY)
+def _span(ts: str = "ts") -> Column:
+    return F.floor(F.unix_timestamp(ts) / SPAN_SECONDS)
 
 
 def counter_steps(samples: DataFrame, series: Sequence[str], tie: str = "event_id") -> DataFrame:
     """Add prev_ts and step: growth since the series' sample before; a reset counts in full."""
     with_prev = previous(
-        samples, series, ["ts", tie], _day(), {"ts": "prev_ts", "value": "prev_value"}
+        samples, series, ["ts", tie], _span(), {"ts": "prev_ts", "value": "prev_value"}
     )
     step = F.when(F.col("value") >= F.col("prev_value"), F.col("value") - F.col("prev_value")).otherwise(
         F.col("value")
@@ -161,7 +162,7 @@ def sustained(
     flagged = samples.withColumn("_ok", F.coalesce(predicate, F.lit(False)))
     second = flagged.withColumn("_at", F.unix_timestamp("ts"))
     numbered = running_total(
-        second, series, "_at", F.when(F.col("_ok"), 0).otherwise(1), "_stretch", chunk=DAY, tie=[tie]
+        second, series, "_at", F.when(F.col("_ok"), 0).otherwise(1), "_stretch", chunk=SPAN_SECONDS, tie=[tie]
     )
     stretches = (
         numbered.filter("_ok")

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatloom.operators.sequence import global_index
+from chatloom.plans.staging import stage
 from chatloom.plans.workspace import ATTACHMENTS, Workspace
 
 
@@ -79,6 +80,9 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parsed(docs: DataFrame) -> DataFrame:
+    """(doc_idx, doc) with the parsed document; already parsed documents pass through."""
+    if "doc" in docs.columns:
+        return docs
     return docs.select("doc_idx", F.try_parse_json("body").alias("doc"))
 
 
@@ -216,72 +220,105 @@ def _value_problem(value: Column, field: Field) -> Column:
     return bad
 
 
-def _problems(df: DataFrame, node: str, spec: dict[str, Field], section: str, path: Column) -> DataFrame:
-    entries = F.col(node).try_cast("map<string,variant>")
-    keyed = df.select("doc_idx", path.alias("path"), entries.alias("m"), F.col(node).alias("node"))
-    found = [
+# Where each kind of object sits and what it must look like.
+KINDS: dict[str, tuple[str, dict[str, Field]]] = {
+    "user": ("users.item", USER),
+    "team": ("teams.item", TEAM),
+    "channel": ("teams.item", CHANNEL),
+    "post": ("teams.item", POST),
+    "file": ("teams.item", ATTACHMENT),
+    "direct": ("direct_channels.item", DIRECT_CHANNEL),
+    "direct_post": ("direct_channels.item", POST),
+    "direct_file": ("direct_channels.item", ATTACHMENT),
+}
+
+
+def _list(value: Column) -> Column:
+    return F.coalesce(value, F.array().cast("array<variant>"))
+
+
+def _entry(path: Column, node: Column) -> Column:
+    return F.struct(path.alias("path"), node.alias("node"))
+
+
+def _roots(name: str) -> Column:
+    return F.transform(
+        _list(_get("doc", name, "array<variant>")), lambda v, i: _entry(i.cast("string"), v)
+    )
+
+
+def _inside(parents: str, name: str) -> Column:
+    """Entries of a nested list, their path continuing the parent's."""
+    return F.flatten(
         F.transform(
-            F.array_except(F.map_keys("m"), F.array(*map(F.lit, spec))),
-            lambda k: F.struct(k.alias("field"), F.lit("is not a known field").alias("problem")),
+            parents,
+            lambda p: F.transform(
+                _list(F.try_variant_get(p["node"], f"$.{name}", "array<variant>")),
+                lambda v, i: _entry(F.concat(p["path"], F.lit(f".{name}."), i.cast("string")), v),
+            ),
         )
-    ]
-    for name, field in spec.items():
-        present = F.map_contains_key("m", name)
-        absent = F.lit("is required") if field.required else F.lit(None).cast("string")
-        problem = F.when(~present, absent).otherwise(_value_problem(_get("node", name), field))
-        found.append(F.array(F.struct(F.lit(name).alias("field"), problem.alias("problem"))))
+    )
+
+
+def nodes(docs: DataFrame) -> DataFrame:
+    """(doc_idx, kind, path, node): every object of every document, from one parse."""
+    df = parsed(docs)
+    steps = {
+        "user": _roots("users"),
+        "team": _roots("teams"),
+        "channel": _inside("team", "channels"),
+        "post": _inside("channel", "posts"),
+        "file": _inside("post", "attachments"),
+        "direct": _roots("direct_channels"),
+        "direct_post": _inside("direct", "posts"),
+        "direct_file": _inside("direct_post", "attachments"),
+    }
+    for kind, entries in steps.items():
+        df = df.withColumn(kind, entries)
+    everything = F.concat(*[_tag(kind) for kind in KINDS])
     return (
-        keyed.select("doc_idx", "path", F.explode(F.concat(*found)).alias("p"))
-        .filter(F.col("p.problem").isNotNull())
-        .select(F.lit(section).alias("section"), "doc_idx", "path", "p.field", "p.problem")
+        df.select("doc_idx", F.explode(everything).alias("n"))
+        .select("doc_idx", "n.*")
+        .filter(_type(F.col("node")).startswith("OBJECT"))
     )
 
 
-def contract_violations(docs: DataFrame) -> DataFrame:
-    """(section, doc_idx, path, field, problem) of everything that breaks the contract."""
-    def at(pattern: str, *columns: str) -> Column:
-        return F.format_string(pattern, *[F.col(c) for c in columns])
+def _tag(kind: str) -> Column:
+    return F.transform(
+        kind,
+        lambda e: F.struct(F.lit(kind).alias("kind"), e["path"].alias("path"), e["node"].alias("node")),
+    )
+
 
-    posts = channel_posts(docs)
-    direct = direct_channel_posts(docs)
-    files = _objects(
-        posts, ["doc_idx", "idx", "c_idx", "p_idx"], _get("post", "attachments", "array<variant>"), "a_idx", "att"
+def _problems(spec: dict[str, Field]) -> Column:
+    """Array of (field, problem) of one object; entries without a problem are null."""
+    unknown = F.transform(
+        F.array_except(F.map_keys("fields"), F.array(*map(F.lit, spec))),
+        lambda k: F.struct(k.alias("field"), F.lit("is not a known field").alias("problem")),
     )
-    direct_files = _objects(
-        direct, ["doc_idx", "idx", "p_idx"], _get("post", "attachments", "array<variant>"), "a_idx", "att"
+    checked = []
+    for name, field in spec.items():
+        absent = F.lit("is required") if field.required else F.lit(None).cast("string")
+        problem = F.when(~F.map_contains_key("fields", name), absent).otherwise(
+            _value_problem(_get("node", name), field)
+        )
+        checked.append(F.struct(F.lit(name).alias("field"), problem.alias("problem")))
+    return F.concat(unknown, F.filter(F.array(*checked), lambda c: c["problem"].isNotNull()))
+
+
+def contract_violations(docs: DataFrame) -> DataFrame:
+    """(section, doc_idx, path, field, problem) of everything that breaks the contract."""
+    kind = F.col("kind")
+    found, section = F, F
+    for name, (place, spec) in KINDS.items():
+        found = found.when(kind == name, _problems(spec))
+        section = section.when(kind == name, F.lit(place))
+    return (
+        nodes(docs)
+        .withColumn("fields", F.col("node").try_cast("map<string,variant>"))
+        .select(section.alias("section"), "doc_idx", "path", F.explode(found).alias("p"))
+        .select("section", "doc_idx", "path", "p.field", "p.problem")
     )
-    local = (F.col("idx") % _SPAN).alias("idx")
-
-    def short(df: DataFrame) -> DataFrame:
-        return df.withColumn("idx", local)
-
-    tables = [
-        (short(sections(docs, "users")), "item", USER, "users.item", at("%d", "idx")),
-        (short(sections(docs, "teams")), "item", TEAM, "teams.item", at("%d", "idx")),
-        (short(team_channels(docs)), "channel", CHANNEL, "teams.item", at("%d.channels.%d", "idx", "c_idx")),
-        (short(posts), "post", POST, "teams.item", at("%d.channels.%d.posts.%d", "idx", "c_idx", "p_idx")),
-        (
-            short(files),
-            "att",
-            ATTACHMENT,
-            "teams.item",
-            at("%d.channels.%d.posts.%d.attachments.%d", "idx", "c_idx", "p_idx", "a_idx"),
-        ),
-        (short(sections(docs, "direct_channels")), "item", DIRECT_CHANNEL, "direct_channels.item", at("%d", "idx")),
-        (short(direct), "post", POST, "direct_channels.item", at("%d.posts.%d", "idx", "p_idx")),
-        (
-            short(direct_files),
-            "att",
-            ATTACHMENT,
-            "direct_channels.item",
-            at("%d.posts.%d.attachments.%d", "idx", "p_idx", "a_idx"),
-        ),
-    ]
-    result = None
-    for df, node, spec, section, path in tables:
-        part = _problems(df, node, spec, section, path)
-        result = part if result is None else result.unionByName(part)
-    return result
 
 
 def _post_columns(df: DataFrame, keep: list[Column]) -> DataFrame:
@@ -361,7 +398,11 @@ def workspace(docs: DataFrame) -> Workspace:
 
 
 def load(docs: DataFrame) -> Workspace:
-    """Check readability, version and contract, then flatten. Raises on the first fault."""
+    """Check readability, version and contract, then flatten. Raises on the first fault.
+
+    The parsed documents are staged: the checks and the nine entity tables all read them.
+    """
+    docs = stage(parsed(docs), "documents")
     broken = unreadable(docs).first()
     if broken:
         raise SourceError(f"document {broken.doc_idx} is not valid JSON")

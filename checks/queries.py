@@ -323,7 +323,7 @@ def listing(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("read_export")
 def read_export(spark, folder):
-    ws = documents.workspace(stage(export_documents(spark, folder), "docs"))
+    ws = documents.workspace(stage(documents.parsed(export_documents(spark, folder)), "docs"))
     return validate.summary(ws)
 
 
@@ -334,7 +334,7 @@ def version_gate(spark, folder):
 
 @query("contract_violations")
 def contract_violations(spark, folder):
-    return documents.contract_violations(stage(export_documents(spark, folder), "docs"))
+    return documents.contract_violations(export_documents(spark, folder))
 
 
 @query("flatten_posts")
