@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from chatloom.operators import attachments, render, resume, validate
 from chatloom.plans.options import JobOptions
 from chatloom.plans.staging import stage
-from chatloom.plans.workspace import Workspace
+from chatloom.plans.workspace import Workspace, staged
 from chatloom.sources import payload
 
 
@@ -47,6 +47,7 @@ def run(
 
     ``written`` holds the records of an earlier, interrupted run.
     """
+    ws = staged(ws)
     validate.check(ws, opts.fail_on_empty)
     records = build_payload(ws, opts, listing)
     if opts.resume:
