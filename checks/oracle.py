@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from chatloom.functions.hashing import DEFAULT_SALT, _pads
 from chatloom.functions.text import BLOCKED_TEXT, REDACTIONS
 from chatloom.operators.monitor import DURATION_BOUNDS
@@ -216,13 +218,8 @@ BASE: dict[str, str] = {
             n_nationkey > 15 AS is_private FROM nation JOIN graph_teams t ON n_regionkey = t.r_regionkey""",
 }
 
-RECURSIVE_LAST = ("walk",)
-
-
 def _needs(text: str) -> list[str]:
     """Names of base tables a text refers to, in definition order."""
-    import re
-
     words = set(re.findall(r"[a-z_]+", text))
     return [name for name in BASE if name in words]
 
@@ -310,13 +307,10 @@ add(
 )
 add(
     "graph_chats",
-    """SELECT string_agg(DISTINCT CASE WHEN longest >= 120 THEN role END, ',') AS members, sum(n)::BIGINT AS posts,
+    """SELECT string_agg(CASE WHEN longest >= 120 THEN role END, ',' ORDER BY first) AS members, sum(n)::BIGINT AS posts,
         epoch_ms(TIMESTAMP '2024-01-02 01:04:05') AS last_ms, conv_id
-    FROM (SELECT conv_id, role, max(length(text)) AS longest, count(*) AS n FROM conversations GROUP BY ALL)
-    GROUP BY conv_id HAVING count_if(longest >= 120) >= 2""".replace(
-        "string_agg(DISTINCT CASE WHEN longest >= 120 THEN role END, ',')",
-        "string_agg(CASE WHEN longest >= 120 THEN role END, ',' ORDER BY first)",
-    ).replace("count(*) AS n FROM", "min(turn) AS first, count(*) AS n FROM"),
+    FROM (SELECT conv_id, role, max(length(text)) AS longest, min(turn) AS first, count(*) AS n FROM conversations GROUP BY ALL)
+    GROUP BY conv_id HAVING count_if(longest >= 120) >= 2""",
 )
 FLAT = "type, name, place, author, content, create_at, root_id"
 add("payload_jsonl", f"SELECT {FLAT} FROM flat")
