@@ -120,3 +120,4 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_html_template": op9_html_template,
     "op10_quality": op10_quality,
+}
