@@ -23,7 +23,7 @@ def _staged(edges: DataFrame) -> tuple[DataFrame, tuple]:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Link every larger neighbour of a node with the smallest node around it."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = both.groupBy("u").agg(F.min("v").alias("m"))
+    low = stage(both.groupBy("u").agg(F.min("v").alias("m")), "low")
     return (
         both.join(low, "u")
         .where(F.col("v") > F.col("u"))
@@ -34,7 +34,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Link a node and its smaller neighbours with the smallest of them (here u > v)."""
-    low = edges.groupBy("u").agg(F.min("v").alias("m"))
+    low = stage(edges.groupBy("u").agg(F.min("v").alias("m")), "low")
     kept = low.select("u", F.col("m").alias("v"))
     moved = (
         edges.join(low, "u")
@@ -49,9 +49,9 @@ def components(edges: DataFrame) -> DataFrame:
 
     ``edges`` has two columns ``a`` and ``b`` of one orderable type; order, repeats and
     loops do not matter, edges with a null are ignored. Rounds follow the logarithm of
-    the longest path. Each round is a few joins against one row per node, so a node with
-    very many neighbours is a skewed join that adaptive execution splits, and each
-    round's edges go to the shared folder. No component is gathered anywhere.
+    the longest path. Each round is two joins against a written table of one row per node, so
+    a node with very many neighbours is a skewed join that adaptive execution splits, and
+    each round's edges go to the shared folder. No component is gathered anywhere.
     """
     pairs = (
         edges.where(F.col("a") != F.col("b"))
@@ -60,7 +60,7 @@ def components(edges: DataFrame) -> DataFrame:
     )
     current, mark = _staged(pairs)
     while mark[0]:
-        current, now = _staged(_small_star(_large_star(current)))
+        current, now = _staged(_small_star(stage(_large_star(current), "large")))
         if now == mark:
             break
         mark = now

@@ -125,7 +125,7 @@ def _split(points: DataFrame, sizes: DataFrame, forest: Forest) -> DataFrame:
                 yield moved.assign(leaf=leaf)
 
     schema = points.select("node", "cid", "label", "vec", "n").schema.add("leaf", "long")
-    routed = points.join(subtrees, "node").mapInPandas(move, schema)
+    routed = points.join(stage(subtrees, "subtrees"), "node").mapInPandas(move, schema)
     return routed.select(F.xxhash64("node", "leaf").alias("node"), "cid", "label", "vec", "n")
 
 
