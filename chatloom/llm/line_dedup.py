@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatloom.llm.words import WHITE, ascii_lower, filled
+from chatloom.plans.staging import stage
 
 #: At most so many keys, the most frequent ones of a sample of documents, are counted
 #: apart from the others, if the sample has them at least ``_HOT_SEEN`` times.
@@ -83,7 +84,7 @@ def repeated_lines(
     )
     if not hot:
         return numbered
-    common = lines.where(is_hot)
+    common = stage(lines.where(is_hot), "hot-lines")
     once = common.groupBy("h1", "h2", "_id", "_row").agg(F.min("pos").alias("pos"))
     place = F.struct(F.col("_id"), F.col("_row"), F.col("pos"))
     counts = (

@@ -28,7 +28,8 @@ def word_count(text: Column) -> Column:
 
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case; letters beyond ASCII stay as they are."""
-    return F.translate(text, UPPER, UPPER.lower())
+    only_ascii = F.length(text) == F.octet_length(text)
+    return F.when(only_ascii, F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
 
 
 def utf8(text: str | None) -> bytes:
