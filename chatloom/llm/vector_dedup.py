@@ -24,7 +24,7 @@ class Forest:
     of about ``sample`` of its vectors; every vector is then routed.
     """
 
-    trees: int = 6
+    trees: int = 8
     leaf: int = 400
     spill: float = 0.08
     levels: int = 6
