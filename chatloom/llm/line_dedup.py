@@ -133,13 +133,17 @@ def keep_bitmaps(
 def apply_bitmaps(
     docs: DataFrame, bitmaps: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``docs`` with columns ``_n_lines``, ``_n_dropped`` and ``_kept`` (the remaining text)."""
-    lines = F.split(filled(F.col(text_col)), "\n")
-    keyed = docs.select("*", F.xxhash64(filled(F.col(text_col))).alias("_row"))
-    b = bitmaps.select(
-        F.col("_id").alias("_b_id"), F.col("_row").alias("_b_row"), F.col("runs").alias("_runs")
+    """(doc, n_lines, n_dropped, kept): each row of ``docs`` as a struct, and its remaining text."""
+    text = F.col("_text")
+    lines = F.split(text, "\n")
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+        F.col(id_col).alias("_d_id"),
+        filled(F.col(text_col)).alias("_text"),
+        F.xxhash64(filled(F.col(text_col))).alias("_d_row"),
     )
-    joined = keyed.join(b, (F.col("_row") == F.col("_b_row")) & F.col(id_col).eqNullSafe(F.col("_b_id")), "left")
+    b = bitmaps.select("_id", "_row", F.col("runs").alias("_runs"))
+    joined = keyed.join(b, (F.col("_d_row") == F.col("_row")) & F.col("_d_id").eqNullSafe(F.col("_id")), "left")
     runs = F.coalesce(F.col("_runs"), F.array().cast("array<struct<start:int,length:int>>"))
     n_lines = F.size(lines)
     # Flags by position: false before each run, true inside it, false after the last one.
@@ -156,10 +160,10 @@ def apply_bitmaps(
     # zip_with pads the flags with null; a null entry is left out by array_join.
     kept = F.zip_with(lines, F.flatten(pieces), lambda line, drop: F.when(drop, None).otherwise(line))
     return joined.select(
-        *[F.col(c) for c in docs.columns],
-        n_lines.cast("long").alias("_n_lines"),
-        F.aggregate(runs, F.lit(0).cast("long"), lambda acc, run: acc + run["length"]).alias("_n_dropped"),
-        F.when(F.size(runs) == 0, filled(F.col(text_col))).otherwise(F.array_join(kept, "\n")).alias("_kept"),
+        "doc",
+        n_lines.cast("long").alias("n_lines"),
+        F.aggregate(runs, F.lit(0).cast("long"), lambda acc, run: acc + run["length"]).alias("n_dropped"),
+        F.when(F.size(runs) == 0, text).otherwise(F.array_join(kept, "\n")).alias("kept"),
     )
 
 
@@ -172,7 +176,7 @@ def drop_common_lines(
     min_points: int = 1,
     keep_first: bool = False,
 ) -> DataFrame:
-    """Every row of ``docs`` with ``_n_lines``, ``_n_dropped`` and ``_kept``.
+    """(doc, n_lines, n_dropped, kept) for every row of ``docs``, the row itself as a struct.
 
     A null or empty text is one empty line. A document is its id and its text: an exactly
     repeated row counts once and is treated alike each time; null ids compare as equal.

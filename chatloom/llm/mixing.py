@@ -227,18 +227,22 @@ def mixed_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         .agg(F.max(F.struct("taken", "size", "epochs", "runs")).alias("_m"))
         .select("_m_id", "_m_row", "_m.size", "_m.epochs", "_m.runs")
     )
-    keyed = docs.withColumn("_m_key", F.xxhash64(filled(F.col(text_col))))
-    own = [F.col(c) for c in docs.columns]
-    joined = keyed.join(once, (F.col("_m_key") == F.col("_m_row")) & F.col(id_col).eqNullSafe(F.col("_m_id")))
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"),
+        F.col(id_col).alias("_id"),
+        F.col(text_col).alias("_text"),
+        F.xxhash64(filled(F.col(text_col))).alias("_key"),
+    )
+    joined = keyed.join(once, (F.col("_key") == F.col("_m_row")) & F.col("_id").eqNullSafe(F.col("_m_id")))
     whole = F.struct(F.lit(0).cast("long").alias("start"), F.col("size").alias("length"))
     pieces = F.concat(F.array_repeat(whole, F.col("epochs").cast("int")), F.col("runs"))
-    spread = joined.select(*own, F.col("size").alias("_m_size"), F.explode(pieces).alias("_m_piece"))
-    words = F.filter(F.split(F.col(text_col), f"[{WHITE_CLASS}]+"), lambda w: w != "")
+    spread = joined.select("_doc", "_text", "size", F.explode(pieces).alias("_piece"))
+    words = F.filter(F.split("_text", f"[{WHITE_CLASS}]+"), lambda w: w != "")
     part = F.array_join(
-        F.slice(words, F.col("_m_piece.start").cast("int") + 1, F.col("_m_piece.length").cast("int")), " "
+        F.slice(words, F.col("_piece.start").cast("int") + 1, F.col("_piece.length").cast("int")), " "
     )
-    text = F.when(F.col("_m_piece.length") == F.col("_m_size"), F.col(text_col)).otherwise(part)
-    out = spread.withColumn(text_col, text)
+    cut = spread.withColumn("_new", F.when(F.col("_piece.length") == F.col("size"), F.col("_text")).otherwise(part))
+    changed = {text_col: F.col("_new")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        changed["n_chars"] = F.length("_new").cast(docs.schema["n_chars"].dataType)
+    return cut.select(*[changed.get(c, F.col(f"_doc.`{c}`")).alias(c) for c in docs.columns])

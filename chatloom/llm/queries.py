@@ -61,10 +61,10 @@ def op5_content_sort(spark: SparkSession, folder: str) -> DataFrame:
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     lines = line_dedup.drop_common_lines(table(spark, folder, "documents"))
     return lines.select(
-        "doc_id",
-        F.col("_n_lines").alias("n_lines"),
-        F.col("_n_dropped").alias("n_dropped"),
-        F.sha2("_kept", 256).alias("kept_sha256"),
+        "doc.doc_id",
+        "n_lines",
+        "n_dropped",
+        F.sha2("kept", 256).alias("kept_sha256"),
     )
 
 

@@ -233,4 +233,4 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame
         .select(F.col(id_col).alias("_stay"))
         .distinct()
     )
-    return docs.join(stay, F.col(id_col).eqNullSafe(F.col("_stay")), "left_semi")
+    return docs.join(stay, docs[id_col].eqNullSafe(stay["_stay"]), "left_semi")
