@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import json
+import os
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -13,8 +16,10 @@ from pyspark.sql import DataFrame
 
 from chatloom.llm.words import utf8
 
-_CACHED_WORDS = 500_000
+_CACHED_WORDS = 1_000_000
 _CACHED_BYTES = 200
+#: Marks that may follow the letters of a word; none of them is part of a special token.
+_TAIL = b".,;:!?%$&*#)]\""
 _ROWS_OUT = 20_000
 
 
@@ -165,31 +170,86 @@ def pack_stream(
         yield from unpadded(pool.sequence(), limits.tokens)
 
 
+def _letters(word: bytes) -> bool:
+    text = word.decode("utf-8", "surrogatepass")
+    return text.isalpha() and text.lower().isalpha()
+
+
 class WordTokenizer:
-    """Ids of a tokenizer that never joins words across white space, with a bounded word cache."""
+    """Ids of a tokenizer that never joins words across white space, with a bounded word cache.
+
+    It must also lower letters and never join a letter with the marks of ``_TAIL``, as
+    word-level tokenizers do; then a word's letters and the marks after them are known on
+    their own.
+    """
 
-    def __init__(self, definition: str, end_id: int) -> None:
+    def __init__(self, definition: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.end = np.array([end_id], "<u4").tobytes()
         self.known: dict[bytes, bytes] = {}
-
-    def _encode(self, word: bytes) -> bytes:
-        text = word.decode("utf-8", "surrogatepass")
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        suffix = json.loads(definition)["model"].get("end_of_word_suffix")
+        vocab = self.tokenizer.get_vocab()
+        #: Whether an id ends a word, if the vocabulary marks that.
+        self.ends = np.zeros(max(vocab.values()) + 1, bool) if suffix else None
+        if suffix:
+            self.ends[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
+
+    def _encode(self, words: list[bytes]) -> list[bytes]:
+        texts = [w.decode("utf-8", "surrogatepass") for w in words]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in found]
+
+    def _encode_letters(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words that are letters only, all in one text; each has one id that ends it."""
+        if not words:
+            return []
+        text = b" ".join(words).decode("utf-8")
+        ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        stops = (np.flatnonzero(self.ends[ids]) + 1) * 4
+        if len(stops) != len(words) or stops[-1] != 4 * len(ids):
+            return self._encode(words)
+        data = ids.tobytes()
+        return [data[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)]
+
+    def _parts(self, word: bytes) -> tuple[bytes, bytes]:
+        stem = word.rstrip(_TAIL)
+        if len(stem) < len(word) and not stem[-1:].isalpha():
+            last = stem.decode("utf-8", "surrogatepass")[-1:]
+            if not (last.isalpha() and last.lower().isalpha()):
+                stem = word
+        return (stem.lower() if stem.isalpha() else stem), word[len(stem) :]
+
+    def _learn(self, words: list[bytes]) -> None:
+        parts = {w: self._parts(w) for w in words}
+        fresh = list({p for pair in parts.values() for p in pair if p and p not in self.known})
+        letters, others = [], []
+        for part in fresh:
+            only = self.ends is not None and (part.isalpha() or _letters(part))
+            (letters if only else others).append(part)
+        self.known.update(zip(letters, self._encode_letters(letters), strict=True))
+        self.known.update(zip(others, self._encode(others), strict=True))
+        for word, (stem, tail) in parts.items():
+            self.known[word] = self.known[stem] + (self.known[tail] if tail else b"")
 
     def ids(self, text: str | None) -> bytes:
         known, words = self.known, utf8(text).split()
         if len(known) > _CACHED_WORDS:
             known.clear()
-        own = {}
-        for word in set(words):
-            if word not in known:
-                (known if len(word) <= _CACHED_BYTES else own)[word] = self._encode(word)
-        if own:
-            return b"".join([own[w] if w in own else known[w] for w in words]) + self.end
-        return b"".join([known[w] for w in words]) + self.end
+        missing = [w for w in set(words) if w not in known]
+        long = [w for w in missing if len(w) > _CACHED_BYTES]
+        self._learn([w for w in missing if len(w) <= _CACHED_BYTES])
+        if long:
+            own = dict(zip(long, self._encode(long), strict=True))
+            return b"".join([own[w] if w in own else known[w] for w in words])
+        return b"".join([known[w] for w in words])
+
+
+@lru_cache(maxsize=1)
+def _tokenizer(definition: str) -> WordTokenizer:
+    """One per Python worker, so that its cache serves the next tasks too."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    return WordTokenizer(definition)
 
 
 def pack_documents(
@@ -220,7 +280,7 @@ def pack_documents(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = WordTokenizer(definition, end_id)
+        tokenizer, end = _tokenizer(definition), np.array([end_id], "<u4").tobytes()
         number = TaskContext.get().partitionId() << 33
         key_type = None
 
@@ -230,7 +290,7 @@ def pack_documents(
                 key_type = batch.schema.field(0).type
                 keys, texts = batch.column(0), batch.column(1)
                 for i in range(batch.num_rows):
-                    yield keys[i].as_py(), tokenizer.ids(texts[i].as_py())
+                    yield keys[i].as_py(), tokenizer.ids(texts[i].as_py()) + end
 
         def table(out: list[tuple]) -> pa.RecordBatch:
             columns = list(zip(*out, strict=True))
