@@ -101,12 +101,19 @@ def is_remote(location: Column) -> Column:
     return location.startswith("http://") | location.startswith("https://")
 
 
+COMPACT_ISO = r"^(\d{4})(\d{2})(\d{2})T(\d{2})(\d{2})(\d{2})"
+ISO = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.]\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
+
+
 def iso_to_epoch_ms(text: Column) -> Column:
     """ISO-8601 text to epoch milliseconds, truncated; 0 when missing or unreadable.
 
+    Only whole dates are read, with or without a time; the compact form is one of them.
     Times without an offset are read in the session time zone, which jobs pin to UTC.
     """
-    return F.coalesce(F.unix_millis(F.try_to_timestamp(text)), F.lit(0).cast("bigint"))
+    spread = F.regexp_replace(text, COMPACT_ISO, "$1-$2-$3T$4:$5:$6")
+    moment = F.when(spread.rlike(ISO), F.try_to_timestamp(spread))
+    return F.coalesce(F.unix_millis(moment), F.lit(0).cast("bigint"))
 
 
 def redact(text: Column, names: Sequence[str] | None = None, rules: Sequence[Redaction] = REDACTIONS) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.functions.text import is_remote, non_empty, safe_attachment_name
@@ -31,12 +31,16 @@ def references(ws: Workspace) -> DataFrame:
     return in_channels.unionByName(in_direct).select("phase", *position, "att.*")
 
 
+def _key(identity: str, path: Column, url: Column) -> Column:
+    return path if identity == "path" else F.coalesce(non_empty(url), path)
+
+
 def manifest(ws: Workspace, identity: str = "path") -> DataFrame:
     """One row per distinct attachment; the first mention gives name and source.
 
     ``identity="url"`` keeps files apart that share a path but not an address.
     """
-    key = F.col("path") if identity == "path" else F.coalesce(non_empty(F.col("url")), F.col("path"))
+    key = _key(identity, F.col("path"), F.col("url"))
     first = (
         references(ws)
         .groupBy(key.alias("key"))
@@ -76,18 +80,22 @@ def list_files(spark, folder: str) -> DataFrame:
     return files.select(F.element_at(F.split("path", F.concat(F.lit(r"\Q"), F.lit(prefix), F.lit(r"\E"))), -1).alias("source"))
 
 
-def attach(posts: DataFrame, keys: list[str], outcome: DataFrame) -> DataFrame:
+def attach(posts: DataFrame, keys: list[str], outcome: DataFrame, identity: str = "path") -> DataFrame:
     """Replace each post's attachment list by its delivered files.
 
+    ``identity`` is the one that the manifest was made with.
+
     Adds ``files`` (array of file_id and path) and ``file_ids``; both are null when
     nothing was delivered.
     """
     mentions = posts.select(*keys, F.posexplode("attachments").alias("pos", "att")).select(
-        *keys, "pos", F.col("att.path").alias("path")
+        *keys, "pos", _key(identity, F.col("att.path"), F.col("att.url")).alias("_key")
     )
-    good = outcome.filter("status = 'success'").select("path", "file_id")
+    # A file's source is its address, or its path without one: the key by url.
+    own = "path" if identity == "path" else "source"
+    good = outcome.filter("status = 'success'").select(F.col(own).alias("_key"), "file_id")
     delivered = (
-        mentions.join(good, "path")
+        mentions.join(good, "_key")
         .groupBy(*keys)
         .agg(F.array_sort(F.collect_list(F.struct("pos", "file_id"))).alias("_files"))
     )

@@ -127,3 +127,43 @@ def test_json_line_is_sorted_ascii_json(spark):
 
 def test_direct_post_id_golden(spark):
     assert "direct-post-" + keyed("john-doe,sarah-khan|0|1000|john-doe|Earlier message") == "direct-post-b0cf1727d581"
+
+
+def test_iso_times_are_whole_dates(spark):
+    from pyspark.sql import functions as F
+
+    from chatloom.functions.text import iso_to_epoch_ms
+
+    cases = {
+        "20240102T030405Z": 1704164645000,
+        "2024-01-02T03:04:05Z": 1704164645000,
+        "2024-01-02T03:04:05.678+01:00": 1704161045678,
+        "2024-01-02": 1704153600000,
+        "12:30": 0, "T12:30": 0, "2024-01": 0, "2024": 0, " 2024-01-02": 0, "2024-01-02T03:04:05 Europe/Paris": 0, "": 0, None: 0,
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "t string")
+    got = {r.t: r.ms for r in df.select("t", iso_to_epoch_ms(F.col("t")).alias("ms")).collect()}
+    assert got == cases
+
+
+def test_import_mark_is_a_like_pattern(spark):
+    from chatloom.operators.postimport import keep_first_import
+
+    rows = [("a", 1, '{"importXid": "q"}'), ("b", 2, '{"importXid": "q"}'), ("c", 3, None), ("d", 4, "{}")]
+    df = spark.createDataFrame(rows, "id string, createat long, props string")
+    assert {r.id for r in keep_first_import(df).collect()} == {"a", "c", "d"}
+
+
+def test_files_keep_apart_by_address(spark):
+    from chatloom.operators.attachments import attach
+
+    item = "array<struct<name:string,path:string,url:string>>"
+    posts = spark.createDataFrame(
+        [(1, [("f", "file", "http://a")]), (2, [("f", "file", "http://b")])], f"p long, attachments {item}"
+    )
+    done = spark.createDataFrame(
+        [("file", "http://a", "A", "success"), ("file", "http://b", "B", "success")],
+        "path string, source string, file_id string, status string",
+    )
+    got = {r.p: r.file_ids for r in attach(posts, ["p"], done, identity="url").collect()}
+    assert got == {1: ["A"], 2: ["B"]}
