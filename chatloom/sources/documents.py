@@ -2,6 +2,11 @@
 
 A document is one JSON text with ``users``, ``teams`` and ``direct_channels``. Large
 exports come as many documents; their sections follow one another in document order.
+
+Outer objects (teams, channels, direct channels) are taken apart as text, one level at a
+time; only users, posts and the plain fields of outer objects become variants. The size
+bound of a variant therefore holds for one user or post, never for a document or channel.
+An item of an outer list that is a text counts as an object if it reads as one.
 """
 
 from __future__ import annotations
@@ -79,24 +84,54 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return global_index(raw, ["path"], "doc_idx", label="documents").select("doc_idx", "body")
 
 
+_DOCUMENT = (
+    "schema_version variant, version variant, "
+    "users array<variant>, teams array<string>, direct_channels array<string>"
+)
+
+
 def parsed(docs: DataFrame) -> DataFrame:
-    """(doc_idx, doc) with the parsed document; already parsed documents pass through."""
+    """(doc_idx, doc, readable) with the document's sections; parsed documents pass through."""
     if "doc" in docs.columns:
         return docs
-    return docs.select("doc_idx", F.try_parse_json("body").alias("doc"))
+    # One JSON value and nothing after it.
+    values = F.from_json(F.concat(F.lit("["), F.col("body"), F.lit("]")), "array<string>")
+    users = F.from_json("body", "users array<string>")["users"]
+    doc = F.from_json("body", _DOCUMENT)
+    whole = users.isNull() | doc["users"].isNotNull()
+    return docs.select(
+        "doc_idx", doc.alias("doc"), (F.coalesce(F.size(values) == 1, F.lit(False)) & whole).alias("readable")
+    )
 
 
 def unreadable(docs: DataFrame) -> DataFrame:
-    """Documents that are not JSON."""
-    return parsed(docs).filter(F.col("doc").isNull()).select("doc_idx")
+    """Documents that are not JSON, or hold a user or post that no variant can hold."""
+    docs = parsed(docs)
+    whole = docs.filter(~F.col("readable")).select("doc_idx")
+    channels = team_channels(docs).filter(_posts_lost("channel.posts")).select("doc_idx")
+    directs = sections(docs, "direct_channels").filter(_posts_lost("item.posts")).select("doc_idx")
+    return whole.unionByName(channels).unionByName(directs)
+
+
+def _posts_lost(posts: str) -> Column:
+    return F.from_json("text", "posts array<string>")["posts"].isNotNull() & F.col(posts).isNull()
 
 
 def _get(node: str, path: str, kind: str = "variant") -> Column:
     return F.try_variant_get(F.col(node), f"$.{path}", kind)
 
 
+def _plain(path: str, kind: str = "string") -> Column:
+    """Value of a variant column."""
+    return F.try_variant_get(F.col(path), "$", kind)
+
+
+def _texts(path: str) -> Column:
+    return F.transform(path, lambda v: F.try_variant_get(v, "$", "string"))
+
+
 def _type(value: Column) -> Column:
-    return F.schema_of_variant(value)
+    return F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
 
 
 def bad_versions(docs: DataFrame) -> DataFrame:
@@ -104,7 +139,7 @@ def bad_versions(docs: DataFrame) -> DataFrame:
     doc = parsed(docs)
     declared = None
     for field in ("schema_version", "version"):
-        part = doc.select("doc_idx", F.lit(field).alias("field"), _get("doc", field).alias("v"))
+        part = doc.select("doc_idx", F.lit(field).alias("field"), F.col(f"doc.{field}").alias("v"))
         declared = part if declared is None else declared.unionByName(part)
     kind = _type(F.col("v"))
     text = F.try_variant_get("v", "$", "string")
@@ -113,44 +148,64 @@ def bad_versions(docs: DataFrame) -> DataFrame:
     return declared.filter(scalar & ~fine).select("doc_idx", "field", text.alias("value"))
 
 
-def _objects(df: DataFrame, keep: list[str], array: Column, pos: str, out: str) -> DataFrame:
+def _leaves(df: DataFrame, keep: list[str], array: Column, pos: str, out: str) -> DataFrame:
     """Explode an array of variants; items that are not objects are passed over."""
     return df.select(*keep, F.posexplode(array).alias(pos, out)).filter(
         _type(F.col(out)).startswith("OBJECT")
     )
 
 
+def _outer(df: DataFrame, keep: list[str], array: Column, pos: str, out: str, fields: str) -> DataFrame:
+    """Explode an array of object texts into ``text``, its field names ``keys`` and fields ``out``."""
+    items = df.select(*keep, F.posexplode(array).alias(pos, "text"))
+    return items.withColumn("keys", F.json_object_keys("text")).filter(F.col("keys").isNotNull()).withColumn(
+        out, F.from_json("text", fields)
+    )
+
+
+def _shape(spec: dict[str, Field], inner: str) -> str:
+    """Schema of an outer object; lists of plain items are variants, one by one."""
+    kinds = {"texts": "array<variant>", "items": f"array<{inner}>"}
+    return ", ".join(f"{name} {kinds.get(field.kind, 'variant')}" for name, field in spec.items())
+
+
 def sections(docs: DataFrame, name: str) -> DataFrame:
-    """(doc_idx, idx, item): the objects of one section in document order."""
-    items = _objects(parsed(docs), ["doc_idx"], _get("doc", name, "array<variant>"), "pos", "item")
-    return items.select("doc_idx", (F.col("doc_idx") * _SPAN + F.col("pos")).alias("idx"), "item")
+    """(doc_idx, pos, idx, item): the objects of one section in document order."""
+    docs, array = parsed(docs), F.col(f"doc.{name}")
+    if name == "users":
+        items = _leaves(docs, ["doc_idx"], array, "pos", "item")
+    else:
+        fields = _shape(TEAM, "string") if name == "teams" else _shape(DIRECT_CHANNEL, "variant")
+        items = _outer(docs, ["doc_idx"], array, "pos", "item", fields)
+    return items.withColumn("idx", F.col("doc_idx") * _SPAN + F.col("pos"))
 
 
 def team_channels(docs: DataFrame) -> DataFrame:
-    return _objects(
-        sections(docs, "teams").withColumn("team_name", _get("item", "name", "string")),
-        ["doc_idx", "idx", "team_name"],
-        _get("item", "channels", "array<variant>"),
+    return _outer(
+        sections(docs, "teams").withColumn("team_name", _plain("item.name")),
+        ["doc_idx", "pos", "idx", "team_name"],
+        F.col("item.channels"),
         "c_idx",
         "channel",
+        _shape(CHANNEL, "variant"),
     )
 
 
 def channel_posts(docs: DataFrame) -> DataFrame:
-    return _objects(
-        team_channels(docs).withColumn("channel_name", _get("channel", "name", "string")),
-        ["doc_idx", "idx", "c_idx", "team_name", "channel_name"],
-        _get("channel", "posts", "array<variant>"),
+    return _leaves(
+        team_channels(docs).withColumn("channel_name", _plain("channel.name")),
+        ["doc_idx", "pos", "idx", "c_idx", "team_name", "channel_name"],
+        F.col("channel.posts"),
         "p_idx",
         "post",
     )
 
 
 def direct_channel_posts(docs: DataFrame) -> DataFrame:
-    return _objects(
+    return _leaves(
         sections(docs, "direct_channels"),
-        ["doc_idx", "idx"],
-        _get("item", "posts", "array<variant>"),
+        ["doc_idx", "pos", "idx"],
+        F.col("item.posts"),
         "p_idx",
         "post",
     )
@@ -190,9 +245,8 @@ def lax_flag(value: Column) -> Column:
 
 
 def _value_problem(value: Column, field: Field) -> Column:
-    """Null when the value fits the field."""
-    kind = _type(value)
-    elements = F.try_variant_get(value, "$", "array<variant>")
+    """Null when the value fits the field; lists come as arrays."""
+    kind = None if field.kind in ("texts", "items") else _type(value)
     if field.kind in ("text", "email"):
         bad = F.when(kind != "STRING", "must be a text")
         if field.kind == "email":
@@ -211,8 +265,8 @@ def _value_problem(value: Column, field: Field) -> Column:
         bad = F.when(lax_flag(value).isNull(), "must be a boolean")
     else:
         wanted = "STRING" if field.kind == "texts" else "OBJECT"
-        bad = F.when(~kind.startswith("ARRAY"), "must be a list").when(
-            F.exists(elements, lambda e: ~_type(e).startswith(wanted)),
+        bad = F.when(value.isNull(), "must be a list").when(
+            F.exists(value, lambda e: ~_type(e).startswith(wanted)),
             "must hold only texts" if field.kind == "texts" else "must hold only objects",
         )
     if field.nullable:
@@ -220,105 +274,78 @@ def _value_problem(value: Column, field: Field) -> Column:
     return bad
 
 
-# Where each kind of object sits and what it must look like.
-KINDS: dict[str, tuple[str, dict[str, Field]]] = {
-    "user": ("users.item", USER),
-    "team": ("teams.item", TEAM),
-    "channel": ("teams.item", CHANNEL),
-    "post": ("teams.item", POST),
-    "file": ("teams.item", ATTACHMENT),
-    "direct": ("direct_channels.item", DIRECT_CHANNEL),
-    "direct_post": ("direct_channels.item", POST),
-    "direct_file": ("direct_channels.item", ATTACHMENT),
-}
-
-
-def _list(value: Column) -> Column:
-    return F.coalesce(value, F.array().cast("array<variant>"))
+# The sections' names in reports.
+_USERS, _TEAMS, _DIRECTS = "users.item", "teams.item", "direct_channels.item"
 
 
-def _entry(path: Column, node: Column) -> Column:
-    return F.struct(path.alias("path"), node.alias("node"))
+def _path(*parts: str) -> Column:
+    """Array positions (columns) and field names (texts with dots) as one path."""
+    return F.concat(*[F.lit(p) if "." in p else F.col(p).cast("string") for p in parts])
 
 
-def _roots(name: str) -> Column:
-    return F.transform(
-        _list(_get("doc", name, "array<variant>")), lambda v, i: _entry(i.cast("string"), v)
-    )
-
-
-def _inside(parents: str, name: str) -> Column:
-    """Entries of a nested list, their path continuing the parent's."""
-    return F.flatten(
-        F.transform(
-            parents,
-            lambda p: F.transform(
-                _list(F.try_variant_get(p["node"], f"$.{name}", "array<variant>")),
-                lambda v, i: _entry(F.concat(p["path"], F.lit(f".{name}."), i.cast("string")), v),
-            ),
-        )
-    )
+def _nodes(docs: DataFrame) -> list[tuple[dict[str, Field], DataFrame]]:
+    """Per contract (section, doc_idx, path, node, keys): one row per object of the documents."""
 
+    def outer(df: DataFrame, section: str, node: str, path: Column) -> DataFrame:
+        # Exploding keeps the parsed object from being parsed anew for each field.
+        once = F.explode(F.array(node)).alias("node")
+        return df.select(F.lit(section).alias("section"), "doc_idx", path.alias("path"), "keys", once)
 
-def nodes(docs: DataFrame) -> DataFrame:
-    """(doc_idx, kind, path, node): every object of every document, from one parse."""
-    df = parsed(docs)
-    steps = {
-        "user": _roots("users"),
-        "team": _roots("teams"),
-        "channel": _inside("team", "channels"),
-        "post": _inside("channel", "posts"),
-        "file": _inside("post", "attachments"),
-        "direct": _roots("direct_channels"),
-        "direct_post": _inside("direct", "posts"),
-        "direct_file": _inside("direct_post", "attachments"),
-    }
-    for kind, entries in steps.items():
-        df = df.withColumn(kind, entries)
-    everything = F.concat(*[_tag(kind) for kind in KINDS])
-    return (
-        df.select("doc_idx", F.explode(everything).alias("n"))
-        .select("doc_idx", "n.*")
-        .filter(_type(F.col("node")).startswith("OBJECT"))
-    )
+    def leaf(df: DataFrame, section: str, node: str, path: Column) -> DataFrame:
+        return df.select(F.lit(section).alias("section"), "doc_idx", path.alias("path"), F.col(node).alias("node"))
 
+    def keyed(df: DataFrame) -> DataFrame:
+        return df.withColumn("keys", F.map_keys(F.col("node").try_cast("map<string,variant>")))
 
-def _tag(kind: str) -> Column:
-    return F.transform(
-        kind,
-        lambda e: F.struct(F.lit(kind).alias("kind"), e["path"].alias("path"), e["node"].alias("node")),
+    posts = leaf(
+        channel_posts(docs), _TEAMS, "post", _path("pos", ".channels.", "c_idx", ".posts.", "p_idx")
+    ).unionByName(leaf(direct_channel_posts(docs), _DIRECTS, "post", _path("pos", ".posts.", "p_idx")))
+    attached = _get("node", "attachments", "array<variant>")
+    files = _leaves(posts, ["section", "doc_idx", "path"], attached, "f_idx", "file")
+    files = files.select(
+        "section", "doc_idx", _path("path", ".attachments.", "f_idx").alias("path"), F.col("file").alias("node")
     )
-
-
-def _problems(spec: dict[str, Field]) -> Column:
-    """Array of (field, problem) of one object; entries without a problem are null."""
+    channels = outer(team_channels(docs), _TEAMS, "channel", _path("pos", ".channels.", "c_idx"))
+    return [
+        (USER, keyed(leaf(sections(docs, "users"), _USERS, "item", _path("pos")))),
+        (TEAM, outer(sections(docs, "teams"), _TEAMS, "item", _path("pos"))),
+        (CHANNEL, channels),
+        (POST, keyed(posts)),
+        (ATTACHMENT, keyed(files)),
+        (DIRECT_CHANNEL, outer(sections(docs, "direct_channels"), _DIRECTS, "item", _path("pos"))),
+    ]
+
+
+def _problems(spec: dict[str, Field], outer: bool) -> Column:
+    """Array of (field, problem) of one object."""
     unknown = F.transform(
-        F.array_except(F.map_keys("fields"), F.array(*map(F.lit, spec))),
+        F.array_except("keys", F.array(*map(F.lit, spec))),
         lambda k: F.struct(k.alias("field"), F.lit("is not a known field").alias("problem")),
     )
     checked = []
     for name, field in spec.items():
+        listed = field.kind in ("texts", "items")
+        value = F.col(f"node.{name}") if outer else _get("node", name, "array<variant>" if listed else "variant")
+        if outer and name == "channels":
+            # Items of this list are texts still.
+            wrong = F.exists(value, lambda e: F.json_object_keys(e).isNull())
+            problem = F.when(value.isNull(), "must be a list").when(wrong, "must hold only objects")
+        else:
+            problem = _value_problem(value, field)
         absent = F.lit("is required") if field.required else F.lit(None).cast("string")
-        problem = F.when(~F.map_contains_key("fields", name), absent).otherwise(
-            _value_problem(_get("node", name), field)
-        )
+        problem = F.when(~F.array_contains("keys", name), absent).otherwise(problem)
         checked.append(F.struct(F.lit(name).alias("field"), problem.alias("problem")))
     return F.concat(unknown, F.filter(F.array(*checked), lambda c: c["problem"].isNotNull()))
 
 
 def contract_violations(docs: DataFrame) -> DataFrame:
     """(section, doc_idx, path, field, problem) of everything that breaks the contract."""
-    kind = F.col("kind")
-    found, section = F, F
-    for name, (place, spec) in KINDS.items():
-        found = found.when(kind == name, _problems(spec))
-        section = section.when(kind == name, F.lit(place))
-    return (
-        nodes(docs)
-        .withColumn("fields", F.col("node").try_cast("map<string,variant>"))
-        .select(section.alias("section"), "doc_idx", "path", F.explode(found).alias("p"))
-        .select("section", "doc_idx", "path", "p.field", "p.problem")
-    )
+    found = None
+    for spec, nodes in _nodes(parsed(docs)):
+        outer = nodes.schema["node"].dataType.typeName() == "struct"
+        part = nodes.select("section", "doc_idx", "path", F.explode(_problems(spec, outer)).alias("p"))
+        found = part if found is None else found.unionByName(part)
+    return found.select("section", "doc_idx", "path", "p.field", "p.problem")
 
 
 def _post_columns(df: DataFrame, keep: list[Column]) -> DataFrame:
@@ -340,7 +367,7 @@ def _people(df: DataFrame, node: str, keep: list[Column]) -> DataFrame:
     for field, owner in (("members", False), ("owners", True)):
         part = df.select(
             *keep,
-            F.explode(_get(node, field, "array<string>")).alias("username"),
+            F.explode(_texts(f"{node}.{field}")).alias("username"),
             F.lit(owner).alias("is_owner"),
         )
         either = part if either is None else either.unionByName(part)
@@ -350,8 +377,8 @@ def _people(df: DataFrame, node: str, keep: list[Column]) -> DataFrame:
 def workspace(docs: DataFrame) -> Workspace:
     """Flatten checked documents into entity tables, array positions kept as indexes."""
     users = sections(docs, "users").withColumn("username", _get("item", "username", "string"))
-    teams = sections(docs, "teams").withColumn("team_name", _get("item", "name", "string"))
-    chans = team_channels(docs).withColumn("channel_name", _get("channel", "name", "string"))
+    teams = sections(docs, "teams").withColumn("team_name", _plain("item.name"))
+    chans = team_channels(docs).withColumn("channel_name", _plain("channel.name"))
     directs = sections(docs, "direct_channels")
     t_idx = F.col("idx").alias("t_idx")
     c_idx = F.col("c_idx").cast("bigint").alias("c_idx")
@@ -370,8 +397,8 @@ def workspace(docs: DataFrame) -> Workspace:
         teams=teams.select(
             t_idx,
             F.col("team_name").alias("name"),
-            _get("item", "display_name", "string").alias("display_name"),
-            F.coalesce(_get("item", "description", "string"), F.lit("")).alias("description"),
+            _plain("item.display_name").alias("display_name"),
+            F.coalesce(_plain("item.description"), F.lit("")).alias("description"),
         ),
         team_people=_people(teams, "item", [t_idx, F.col("team_name")]),
         channels=chans.select(
@@ -379,8 +406,8 @@ def workspace(docs: DataFrame) -> Workspace:
             c_idx,
             "team_name",
             F.col("channel_name").alias("name"),
-            _get("channel", "display_name", "string").alias("display_name"),
-            F.coalesce(lax_flag(_get("channel", "is_private")), F.lit(False)).alias("is_private"),
+            _plain("channel.display_name").alias("display_name"),
+            F.coalesce(lax_flag(F.col("channel.is_private")), F.lit(False)).alias("is_private"),
         ),
         channel_people=_people(
             chans, "channel", [t_idx, c_idx, F.col("team_name"), F.col("channel_name")]
@@ -389,7 +416,7 @@ def workspace(docs: DataFrame) -> Workspace:
             channel_posts(docs), [t_idx, c_idx, F.col("team_name"), F.col("channel_name")]
         ),
         direct_channels=directs.select(
-            F.col("idx").alias("d_idx"), _get("item", "members", "array<string>").alias("members")
+            F.col("idx").alias("d_idx"), _texts("item.members").alias("members")
         ),
         direct_posts=_post_columns(direct_channel_posts(docs), [F.col("idx").alias("d_idx")]).drop(
             "parent_id"

@@ -59,6 +59,32 @@ def test_flatten(spark):
     assert ws.direct_posts.first().timestamp_ms == 7
 
 
+def test_large_document(spark):
+    """A document and a channel beyond the bound of one variant (16 MiB) load in full."""
+    posts = [post(message=f"{i} " + "x" * 2000, timestamp_ms=i) for i in range(10_500)]
+    ws = documents.load(docs_of(spark, {"users": [user()], "teams": [team(posts)]}))
+    got = ws.posts.selectExpr("count(*)", "sum(timestamp_ms)", "sum(length(message))", "max(p_idx)").first()
+    assert tuple(got) == (
+        len(posts), sum(p["timestamp_ms"] for p in posts), sum(len(p["message"]) for p in posts), len(posts) - 1,
+    )
+    assert (ws.users.count(), ws.teams.count(), ws.channels.count()) == (1, 1, 1)
+    late = [*posts, post(timestamp_ms="x")]
+    assert problems(spark, {"teams": [team(late)]}) == [
+        ("teams.item", f"0.channels.0.posts.{len(posts)}", "timestamp_ms", "must be a whole number"),
+    ]
+
+
+@pytest.mark.parametrize(
+    "body,broken",
+    [
+        ('{"users": []} x', True), ('{"users": [{"a": 1, "a": 2}]}', True), ("", True), ("[1]", False), ("null", False),
+        ('{"direct_channels": [{"posts": [{"m": 1, "m": 2}]}]}', True), ('{"users": 3}', False),
+    ],
+)
+def test_unreadable(spark, body, broken):
+    assert (documents.unreadable(docs_of(spark, body)).count() == 1) is broken
+
+
 @pytest.mark.parametrize(
     "doc,fine",
     [
