@@ -100,7 +100,8 @@ def _fits_alias(words: Column) -> Column:
     """Whether a name with these words could match inside or across an inserted alias.
 
     An alias is the word "user" and a word of twelve hex digits. A name has to contain
-    one of them, with the other beside it unless the name ends there.
+    one of them, with the other beside it unless the name ends there. (The dash between
+    them can be a name too; it has no words and is told by its key.)
     """
     def is_hex(word: Column) -> Column:
         return word.rlike("^[0-9a-f]{12}$")
@@ -127,7 +128,7 @@ def redact_usernames(
     names = stage(_name_table(users, salt), "names")
     shape = names.agg(
         F.sort_array(F.collect_set("width")).alias("widths"),
-        F.coalesce(F.bool_or(_fits_alias(F.col("words"))), F.lit(False)).alias("nested"),
+        F.coalesce(F.bool_or(_fits_alias(F.col("words")) | (F.col("key") == "-")), F.lit(False)).alias("nested"),
     ).first()
     # Distinct word counts of names: a handful of small integers.
     widths = list(shape.widths)

@@ -53,3 +53,9 @@ def test_random_texts(spark):
             for _ in range(150)
         ]
         assert run(spark, texts, names) == [model(t, names) for t in texts]
+
+
+def test_dash_inside_aliases(spark):
+    names = ["john", "-", "ann"]
+    texts = ["hello john bye", "a-b", "ann - ann", "john-ann"]
+    assert run(spark, texts, names) == [model(t, names) for t in texts]
