@@ -10,7 +10,7 @@ from chatloom.sources import documents
 
 def docs_of(spark, *bodies):
     rows = [(i, b if isinstance(b, str) else json.dumps(b)) for i, b in enumerate(bodies)]
-    return spark.createDataFrame(rows, "doc_idx bigint, body string")
+    return spark.createDataFrame(rows, "doc_idx bigint, body string").coalesce(1)
 
 
 EXPORT = {
