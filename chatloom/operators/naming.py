@@ -4,17 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.functions.text import slugify, stable_alias
-from chatloom.operators.sequence import ordinal, running_total
+from chatloom.operators.sequence import ordinal, position_in_group, running_total
 from chatloom.plans.options import JobOptions
 from chatloom.plans.staging import stage, stage_counted
 from chatloom.plans.workspace import Workspace
 
 # A numbered name: stem, dash, number without leading zeros.
 _NUMBERED = r"^(.+)-([1-9][0-9]{0,17})$"
+# Rival numbers of one base that one task walks (a few dozen bytes each).
+SPAN = 1 << 20
 
 
 def unique_slugs(
@@ -25,8 +28,9 @@ def unique_slugs(
     A numbered name ``b-k`` can be taken by two bases only: its own, and ``b`` as its
     k-th choice. Once the base ``b-k`` has occurred the name is gone for ``b``. So each
     (b, b-k) pair needs one flag, "``b`` has to skip k", and everything else follows from
-    ranks and running counts. Flags are solved as a fixed point over the pairs alone;
-    plain repeats without numbered rivals need no round at all.
+    ranks and running counts. Flags are solved over the pairs alone, in rounds whose number
+    grows with the logarithm of the nesting (``a-1-1-…``) and by one per ``SPAN`` rivals of
+    one base; plain repeats without numbered rivals need no round at all.
     """
     keys = [*scope, "_base"]
     based = df.withColumn("_base", slugify(F.col(name)))
@@ -99,30 +103,91 @@ def _rival_pairs(
 
 
 def _solve_skips(pairs: DataFrame, keys: Sequence[str], scope: Sequence[str]) -> DataFrame:
-    """Fixed point of the skip flags.
+    """The pairs with ``_skip``: whether the base has to skip the child's number.
 
     With A skipped numbers below k and start shift s, the base reaches choice k at its
     occurrence k - s + 1 - A; it must skip k exactly when the child came before that
-    occurrence. Each flag depends only on smaller k and on shorter names, so the fixed
-    point is unique and every round settles at least the next flags in that order.
+    occurrence. The shift is 0 or 1 and comes from the base's own parent, so each pair is
+    solved for both, and the chains of parents are followed afterwards by doubling.
     """
-    flags = stage(pairs.withColumn("_skip", F.lit(1) > F.col("_before")), "skips")
-    while True:
-        parent = flags.select(
-            *scope, F.col("_child").alias("_base"), F.when(F.col("_skip"), 0).otherwise(1).alias("_shift")
+    both = _skips_for_both_shifts(pairs, keys)
+    # A child's shift is 1 when its parent did not skip it: a map from shift to shift.
+    maps = both.select(
+        *keys, "_child", (1 - F.col("_skip0")).alias("_m0"), (1 - F.col("_skip1")).alias("_m1")
+    )
+    parents = maps.select(*scope, F.col("_child").alias("_base"), F.lit(True).alias("_has_parent"))
+    rooted = maps.join(parents, keys, "left").withColumn(
+        "_m1", F.when(F.col("_has_parent"), F.col("_m1")).otherwise(F.col("_m0"))
+    )
+    # Maps that are constant need no parent any more.
+    is_open = F.col("_m0") != F.col("_m1")
+    above = F.when(is_open, F.col("_base"))
+    maps, left = stage_counted(
+        rooted.select(*scope, "_child", "_m0", "_m1", above.alias("_up")), "shifts", is_open
+    )
+    while left:
+        upper = maps.select(
+            *scope,
+            F.col("_child").alias("_up"),
+            F.col("_m0").alias("_a0"),
+            F.col("_m1").alias("_a1"),
+            F.col("_up").alias("_next"),
         )
-        counted = running_total(
-            flags, keys, "_k", F.col("_skip").cast("int"), "_below", inclusive=False
+        composed = maps.join(upper, [*scope, "_up"], "left").select(
+            *scope,
+            "_child",
+            F.when(F.col("_a0") == 1, F.col("_m1")).otherwise(F.col("_m0")).alias("_m0"),
+            F.when(F.col("_a1") == 0, F.col("_m0")).otherwise(F.col("_m1")).alias("_m1"),
+            "_next",
         )
-        joined = counted.join(parent, keys, "left")
-        shift = F.coalesce("_shift", F.lit(0))
-        need = F.col("_k") - shift + 1 - F.col("_below") > F.col("_before")
-        updated, changed = stage_counted(
-            joined.withColumn("_next", need), "skips", F.col("_next") != F.col("_skip")
+        maps, left = stage_counted(
+            composed.withColumn("_up", F.when(is_open, F.col("_next"))).drop("_next"), "shifts", is_open
+        )
+    solved = maps.select(*scope, "_child", (F.col("_m0") == 0).alias("_skip"))
+    return stage(both.select(*keys, "_child", "_k").join(solved, [*scope, "_child"]), "skips")
+
+
+def _skips_for_both_shifts(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``_skip0`` and ``_skip1`` of each pair: 1 where the base skips it, for shift 0 and 1.
+
+    Numbers of one base are walked in order, at most ``SPAN`` in one task; a base with more
+    takes further rounds, each of which starts at the counts where the one before ended.
+    """
+    narrow = pairs.select(*keys, "_child", "_k", "_before")
+    ranked = position_in_group(narrow, keys, ["_k"], "_rank", label="rivals")
+    ranked = stage(ranked.withColumn("_span", F.floor(F.col("_rank") / SPAN)), "rivals")
+    last = ranked.agg(F.max("_span").alias("last")).first().last or 0
+    zero = F.lit(0).cast("bigint")
+    solved, carried = None, None
+    for span in range(last + 1):
+        part = ranked.filter(F.col("_span") == span).select(*narrow.columns)
+        if carried is None:
+            part = part.withColumns({"_x0": zero, "_x1": zero})
+        else:
+            part = part.join(carried, list(keys))
+        result = part.withColumns({"_skip0": zero, "_skip1": zero})
+        done = stage(part.groupBy(*keys).applyInPandas(_walk_numbers, result.schema), "walked")
+        carried = done.groupBy(*keys).agg(
+            F.max(F.col("_x0") + F.col("_skip0")).alias("_x0"),
+            F.max(F.col("_x1") + F.col("_skip1")).alias("_x1"),
         )
-        if changed == 0:
-            return flags
-        flags = updated.select(*pairs.columns, F.col("_next").alias("_skip"))
+        solved = done if solved is None else solved.unionByName(done)
+    return solved.drop("_x0", "_x1", "_before")
+
+
+def _walk_numbers(frame: pd.DataFrame) -> pd.DataFrame:
+    """Count skipped numbers in order of k; ``_x0`` and ``_x1`` hold the counts below k."""
+    frame = frame.sort_values("_k", ignore_index=True)
+    wanted = frame["_k"] + 1 - frame["_before"]
+    for shift in (0, 1):
+        count = int(frame[f"_x{shift}"].iloc[0])
+        below, skips = [], []
+        for bound in (wanted - shift).tolist():
+            below.append(count)
+            skips.append(int(count < bound))
+            count += skips[-1]
+        frame[f"_x{shift}"], frame[f"_skip{shift}"] = below, skips
+    return frame
 
 
 def user_slugs(ws: Workspace, opts: JobOptions) -> DataFrame:

@@ -106,10 +106,10 @@ def global_index(df: DataFrame, order: Sequence[str], out: str, *, label: str =
     staged = stage(ranged, label).withColumn("_part", F.shiftright("_mono", 33))
     counts = staged.groupBy("_part").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_gi_before"))
     return (
         staged.join(F.broadcast(offsets), "_part")
-        .withColumn(out, F.col("_before") + F.col("_mono").bitwiseAND(local_mask))
+        .withColumn(out, F.col("_gi_before") + F.col("_mono").bitwiseAND(local_mask))
         .select(*df.columns, out)
     )
 

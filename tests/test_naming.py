@@ -35,6 +35,43 @@ def test_unique_slugs_equals_walk_in_order(spark):
         assert [result[scope][i] for i in range(len(names))] == unique_model(names), names
 
 
+def alternating(n):
+    """A base and its numbers in turn, so that each number's owner hangs on those below it."""
+    return [name for k in range(1, n + 1, 2) for name in ("u", f"u-{k + 1}", f"u-{k}")]
+
+
+def rounds(spark, monkeypatch, names):
+    """Check the names against the model and count the staged tables."""
+    staged = []
+    for name in ("stage", "stage_counted"):
+        plain = getattr(naming, name)
+        monkeypatch.setattr(naming, name, lambda *a, _plain=plain: (staged.append(1), _plain(*a))[1])
+    df = spark.createDataFrame(list(enumerate(names)), "i bigint, name string")
+    got = {r.i: r.slug for r in naming.unique_slugs(df, "name", "i").collect()}
+    monkeypatch.undo()
+    assert [got[i] for i in range(len(names))] == unique_model(names)
+    return len(staged)
+
+
+def test_rounds_do_not_grow_with_rivals(spark, monkeypatch):
+    assert rounds(spark, monkeypatch, alternating(3000)) == rounds(spark, monkeypatch, alternating(50)) <= 8
+
+
+def test_nested_names_take_few_rounds(spark, monkeypatch):
+    chain = ["a" + "-1" * depth for depth in range(30)]
+    names = chain[::2] + chain[::-1] + chain[1::2] + chain
+    assert rounds(spark, monkeypatch, names) <= 12
+
+
+def test_numbers_walked_in_several_spans(spark, monkeypatch):
+    monkeypatch.setattr(naming, "SPAN", 3)
+    rng = random.Random(9)
+    names = [rng.choice(["u", "u", "u", f"u-{rng.randint(1, 20)}", "u-1-1"]) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(names)), "i bigint, name string")
+    got = {r.i: r.slug for r in naming.unique_slugs(df, "name", "i").collect()}
+    assert [got[i] for i in range(len(names))] == unique_model(names)
+
+
 def test_unique_slugs_without_rivals(spark):
     names = [f"Name {i % 7}!" for i in range(100)]
     df = spark.createDataFrame(list(enumerate(names)), "i bigint, name string")
