@@ -21,7 +21,9 @@ class Forest:
 
     A split sends the ``spill`` share of vectors on either side of its median to both
     children. Subtrees of up to ``levels`` levels are fitted at a time, each on a sample
-    of about ``sample`` of its vectors; every vector is then routed.
+    of about ``sample`` of its vectors; every vector is then routed. Nodes in which at least
+    the ``tight`` share of sampled pairs would link are not split but compared whole, about
+    ``block`` vectors at a time.
     """
 
     trees: int = 8
@@ -30,6 +32,8 @@ class Forest:
     levels: int = 6
     sample: int = 2048
     rounds: int = 12
+    tight: float = 0.05
+    block: int = 2048
     seed: int = 5
 
 
@@ -94,14 +98,34 @@ def route(x: np.ndarray, directions: np.ndarray, band: np.ndarray, levels: int)
     return rows, nodes - (2**levels - 1)
 
 
+def _sampled(points: DataFrame, sizes: DataFrame, rows: int, forest: Forest) -> DataFrame:
+    """A share of each node's points by a hash: about ``rows`` of them, all if fewer."""
+    chance = F.pmod(F.xxhash64("cid", "node", F.lit(forest.seed)), F.lit(1 << 20)) / float(1 << 20)
+    return points.join(sizes, "node").where(chance * F.col("size") <= rows)
+
+
+def _tight(points: DataFrame, sizes: DataFrame, forest: Forest, least: float) -> DataFrame:
+    """(node): the nodes of which so large a share of pairs links that comparing all is worth it.
+
+    A split of such a node parts vectors that link, and its leaves can't hold all links.
+    """
+
+    def judge(batch: pd.DataFrame) -> pd.DataFrame:
+        x = _unit(batch["vec"])
+        near = (x @ x.T >= least).sum() - len(x)
+        held = near >= forest.tight * len(x) * (len(x) - 1)
+        return pd.DataFrame({"node": batch["node"].iloc[:1] if held else []}, dtype="int64")
+
+    some = _sampled(points, sizes, min(forest.sample, 1024), forest).select("node", "vec")
+    return stage(some.groupBy("node").applyInPandas(judge, "node long"), "tight")
+
+
 def _split(points: DataFrame, sizes: DataFrame, forest: Forest) -> DataFrame:
     """Route the points of nodes that are too large through a subtree fitted to each node."""
     shrink = log2(1 / (0.5 + forest.spill))
     levels = F.least(F.ceil(F.log2(F.col("size") / forest.leaf) / shrink), F.lit(forest.levels)).cast("int")
     tall = sizes.select("node", F.greatest(levels, F.lit(1)).alias("levels"), "size")
-    # A share of each node's points by a hash: about forest.sample of them, all if fewer.
-    chance = F.pmod(F.xxhash64("cid", "node", F.lit(forest.seed)), F.lit(1 << 20)) / float(1 << 20)
-    sample = points.join(tall, "node").where(chance * F.col("size") <= forest.sample)
+    sample = _sampled(points, tall, forest.sample, forest)
 
     def fit(batch: pd.DataFrame) -> pd.DataFrame:
         node, depth = int(batch["node"].iloc[0]), int(batch["levels"].iloc[0])
@@ -129,16 +153,25 @@ def _split(points: DataFrame, sizes: DataFrame, forest: Forest) -> DataFrame:
     return routed.select(F.xxhash64("node", "leaf").alias("node"), "cid", "label", "vec", "n")
 
 
-def leaves(classes: DataFrame, forest: Forest) -> DataFrame:
+def leaves(classes: DataFrame, forest: Forest, least: float) -> DataFrame:
     """(node, cid): in which leaves of the forest each class stands.
 
     Trees begin at a label and a dimension. Nodes above the leaf size are split round by
-    round, so that the depth follows the data; nodes that do not get smaller are cut into
-    blocks, and all pairs of blocks become leaves.
+    round, so that the depth follows the data; nodes that are tight or do not get smaller
+    are cut into blocks, and all pairs of blocks become leaves. A root that is tight is so
+    for one tree, and the others leave it out.
     """
-    roots = F.array(*[F.xxhash64("label", F.size("vec"), F.lit(t)) for t in range(forest.trees)])
-    points = classes.select(F.explode(roots).alias("node"), "cid", "label", "vec", "n")
+    root = [F.xxhash64("label", F.size("vec"), F.lit(t)) for t in range(forest.trees)]
     done: list[DataFrame] = []
+    whole = classes.select(root[0].alias("node"), "cid", "label", "vec", "n")
+    sizes = stage(whole.groupBy("node").agg(F.count(F.lit(1)).alias("size")), "sizes")
+    large = sizes.where(F.col("size") > forest.leaf)
+    if large.limit(1).count():
+        tight = _tight(whole, large, forest, least)
+        if tight.limit(1).count():
+            done.append(_blocks(whole.join(tight, "node", "left_semi"), forest.block))
+            classes = stage(whole.join(tight, "node", "left_anti").drop("node"), "classes")
+    points = classes.select(F.explode(F.array(*root)).alias("node"), "cid", "label", "vec", "n")
     for turn in range(forest.rounds):
         if turn:
             points = stage(points, "points")
@@ -147,19 +180,24 @@ def leaves(classes: DataFrame, forest: Forest) -> DataFrame:
         done.append(points.join(large, "node", "left_anti").select("node", "cid"))
         if not large.limit(1).count():
             break
+        if turn:
+            tight = _tight(points, large, forest, least)
+            if tight.limit(1).count():
+                done.append(_blocks(points.join(tight, "node", "left_semi"), forest.block))
+                large = stage(large.join(tight, "node", "left_anti"), "sizes")
         points = _split(points.join(large.select("node"), "node", "left_semi"), large, forest)
     else:
-        done.append(_blocks(points, forest))
+        done.append(_blocks(points, forest.leaf))
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
     return out
 
 
-def _blocks(points: DataFrame, forest: Forest) -> DataFrame:
-    """Leaves for nodes that no split makes smaller: every pair of blocks of their points."""
+def _blocks(points: DataFrame, size: int) -> DataFrame:
+    """Leaves of about ``size`` for nodes that are not split: every pair of blocks of their points."""
     points = stage(points, "points")
-    sizes = points.groupBy("node").agg(F.ceil(2 * F.count(F.lit(1)) / forest.leaf).cast("int").alias("k"))
+    sizes = points.groupBy("node").agg(F.ceil(2 * F.count(F.lit(1)) / size).cast("int").alias("k"))
     own = F.pmod(F.xxhash64("cid"), F.col("k")).cast("int")
     each = points.join(sizes, "node").select(
         "node", "cid", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other")
@@ -212,7 +250,7 @@ def near_vectors(
     """
     forest = forest or Forest()
     classes = stage(usable(vectors, id_col, vector_col, label_col), "classes")
-    stands = leaves(classes, forest)
+    stands = leaves(classes, forest, least)
     where = stands.groupBy("cid").agg(F.sort_array(F.collect_set("node")).alias("leaves"))
     spread = classes.join(where, "cid").select("*", F.explode("leaves").alias("node"))
 
