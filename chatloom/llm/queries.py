@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 
 from chatloom.llm import (
     chat_format,
+    collocations,
     exact_dedup,
     html_extract,
     line_dedup,
+    maxent,
     mixing,
     packing,
+    periodic,
     quality,
     simhash,
     suffix_dedup,
@@ -109,6 +112,52 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """The documents; where crc32 of the id ends in 0, the words from some place on repeat a period."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+
+    def repeated(words):
+        n = F.size(words)
+        a = (g % n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        times = F.ceil((n - a) / p).cast("int")
+        tail = F.slice(F.flatten(F.array_repeat(F.slice(words, a + 1, p), times)), F.lit(1), n - a)
+        return F.array_join(F.concat(F.slice(words, F.lit(1), a), tail), " ")
+
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    # An array of one, so that the words are taken apart once.
+    planted = F.transform(F.array(words), lambda w: F.when(F.size(w) > 0, repeated(w)))[0]
+    return docs.select("doc_id", F.when(h % 10 == 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic.periodic_runs(with_planted_runs(table(spark, folder, "documents")))
+    # Longest first, then earliest start, then smallest period.
+    top = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"], r["period"])))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    joined = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.withColumn("_top", top).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("_top.col2")).alias("start"),
+        F.col("_top.length").alias("length"),
+        F.col("_top.period").alias("period"),
+        F.floor(1000 * F.col("_top.length") / F.col("_top.period")).alias("exponent_milli"),
+        F.sha2(joined, 256).alias("runs_sha256"),
+        F.sha2("kept", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+def op13_maxent_scores(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 7 == 2
+    return maxent.language_model_scores(table(spark, folder, "documents"), held_out=held_out)
+
+
 QUERIES = {
     "op1_suffix_array": op1_suffix_array,
     "op2_mixing": op2_mixing,
@@ -120,4 +169,7 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_html_template": op9_html_template,
     "op10_quality": op10_quality,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_collocations": op12_collocations,
+    "op13_maxent_scores": op13_maxent_scores,
 }

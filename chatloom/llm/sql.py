@@ -58,4 +58,56 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id
 """
 
-ORACLE = {"op5_content_sort": EXACT, "op6_line_dedup": LINES, "op8_chat_format": CHATS}
+COLLOCATIONS = f"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM piece
+), gram AS (
+  SELECT lang, 1 AS size, unnest(w) AS w1, '' AS w2, '' AS w3 FROM w
+  UNION ALL
+  SELECT lang, 2, w[i], w[i + 1], '' FROM (SELECT lang, w, unnest(range(1, len(w))) AS i FROM w)
+  UNION ALL
+  SELECT lang, 3, w[i], w[i + 1], w[i + 2] FROM (SELECT lang, w, unnest(range(1, len(w) - 1)) AS i FROM w)
+), f AS (
+  SELECT lang, size, w1, w2, w3, count(*) AS a FROM gram GROUP BY ALL
+), total AS (
+  SELECT lang, sum(a)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang
+), candidate AS (
+  SELECT * FROM f WHERE size > 1 AND a >= 10
+), part AS (
+  SELECT *, concat_ws(' ', w1, nullif(w2, ''), nullif(w3, '')) AS words FROM f WHERE size < 3 AND a >= 10
+), split AS (
+  SELECT *, 1 AS k, w1 AS head, concat_ws(' ', w2, nullif(w3, '')) AS tail FROM candidate
+  UNION ALL
+  SELECT *, 2, w1 || ' ' || w2, w3 FROM candidate WHERE size = 3
+), cut AS (
+  SELECT s.*, l.a AS l, r.a AS r, ((1000000::HUGEINT * s.a * s.a) // (l.a::HUGEINT * r.a))::BIGINT AS score
+  FROM split s JOIN part l ON l.lang = s.lang AND l.words = s.head
+  JOIN part r ON r.lang = s.lang AND r.words = s.tail
+), best AS (
+  SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, size, w1, w2, w3 ORDER BY score, k) = 1
+), longer AS (
+  SELECT lang, w1, w2, max(a) AS most FROM (
+    SELECT lang, w1, w2, a FROM candidate WHERE size = 3
+    UNION ALL SELECT lang, w2, w3, a FROM candidate WHERE size = 3) GROUP BY ALL
+), kept AS (
+  SELECT best.* FROM best LEFT JOIN longer USING (lang, w1, w2)
+  WHERE size = 3 OR most IS NULL OR 100 * most < 50 * a
+), phrased AS (
+  SELECT *, concat_ws(' ', w1, w2, nullif(w3, '')) AS phrase FROM kept
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, score
+FROM phrased JOIN total USING (lang)
+QUALIFY rank <= 2000
+"""
+
+ORACLE = {
+    "op5_content_sort": EXACT,
+    "op6_line_dedup": LINES,
+    "op8_chat_format": CHATS,
+    "op12_collocations": COLLOCATIONS,
+}
