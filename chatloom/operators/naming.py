@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.functions.text import slugify, stable_alias
+from chatloom.operators import stepmaps
 from chatloom.operators.sequence import ordinal, position_in_group, running_total
 from chatloom.plans.options import JobOptions
 from chatloom.plans.staging import stage, stage_counted
@@ -16,8 +18,8 @@ from chatloom.plans.workspace import Workspace
 
 # A numbered name: stem, dash, number without leading zeros.
 _NUMBERED = r"^(.+)-([1-9][0-9]{0,17})$"
-# Rival numbers of one base that one task walks (a few dozen bytes each).
-SPAN = 1 << 20
+# Rival numbers of one base that are solved in one piece, and rows held by a task at a time.
+SPAN = 1 << 17
 
 
 def unique_slugs(
@@ -29,8 +31,8 @@ def unique_slugs(
     k-th choice. Once the base ``b-k`` has occurred the name is gone for ``b``. So each
     (b, b-k) pair needs one flag, "``b`` has to skip k", and everything else follows from
     ranks and running counts. Flags are solved over the pairs alone, in rounds whose number
-    grows with the logarithm of the nesting (``a-1-1-…``) and by one per ``SPAN`` rivals of
-    one base; plain repeats without numbered rivals need no round at all.
+    grows with the logarithm of the nesting (``a-1-1-…``) only; plain repeats without
+    numbered rivals need no round at all.
     """
     keys = [*scope, "_base"]
     based = df.withColumn("_base", slugify(F.col(name)))
@@ -150,44 +152,107 @@ def _solve_skips(pairs: DataFrame, keys: Sequence[str], scope: Sequence[str]) ->
 def _skips_for_both_shifts(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``_skip0`` and ``_skip1`` of each pair: 1 where the base skips it, for shift 0 and 1.
 
-    Numbers of one base are walked in order, at most ``SPAN`` in one task; a base with more
-    takes further rounds, each of which starts at the counts where the one before ended.
+    In order of k, each pair is a step of the count of skipped numbers. Spans of one base
+    are composed to one map each, all at the same time; one fold over the maps of a base
+    gives the count before every span, and then all spans are solved at the same time.
     """
     narrow = pairs.select(*keys, "_child", "_k", "_before")
     ranked = position_in_group(narrow, keys, ["_k"], "_rank", label="rivals")
-    ranked = stage(ranked.withColumn("_span", F.floor(F.col("_rank") / SPAN)), "rivals")
-    last = ranked.agg(F.max("_span").alias("last")).first().last or 0
+    spans = ranked.withColumn("_span", F.floor(F.col("_rank") / SPAN))
+    spans, more = stage_counted(spans, "rivals", F.col("_span") > 0)
     zero = F.lit(0).cast("bigint")
-    solved, carried = None, None
-    for span in range(last + 1):
-        part = ranked.filter(F.col("_span") == span).select(*narrow.columns)
-        if carried is None:
-            part = part.withColumns({"_x0": zero, "_x1": zero})
-        else:
-            part = part.join(carried, list(keys))
-        result = part.withColumns({"_skip0": zero, "_skip1": zero})
-        done = stage(part.groupBy(*keys).applyInPandas(_walk_numbers, result.schema), "walked")
-        carried = done.groupBy(*keys).agg(
-            F.max(F.col("_x0") + F.col("_skip0")).alias("_x0"),
-            F.max(F.col("_x1") + F.col("_skip1")).alias("_x1"),
-        )
-        solved = done if solved is None else solved.unionByName(done)
-    return solved.drop("_x0", "_x1", "_before")
-
-
-def _walk_numbers(frame: pd.DataFrame) -> pd.DataFrame:
-    """Count skipped numbers in order of k; ``_x0`` and ``_x1`` hold the counts below k."""
-    frame = frame.sort_values("_k", ignore_index=True)
-    wanted = frame["_k"] + 1 - frame["_before"]
-    for shift in (0, 1):
-        count = int(frame[f"_x{shift}"].iloc[0])
-        below, skips = [], []
-        for bound in (wanted - shift).tolist():
-            below.append(count)
-            skips.append(int(count < bound))
-            count += skips[-1]
-        frame[f"_x{shift}"], frame[f"_skip{shift}"] = below, skips
-    return frame
+    if more:
+        later = spans.filter("_span > 0").select(*keys).distinct()
+        long = spans.join(later, list(keys), "left_semi")
+        counted = stage(_span_starts(long, keys), "span-starts")
+        spans = spans.join(counted, [*keys, "_span"], "left")
+        spans = spans.withColumns({c: F.coalesce(c, zero) for c in ("_x0", "_x1")})
+    else:
+        spans = spans.withColumns({"_x0": zero, "_x1": zero})
+    dealt = spans.repartition(*keys, "_span").sortWithinPartitions(*keys, "_span", "_k")
+    result = spans.withColumns({"_skip0": zero, "_skip1": zero}).schema
+    size = SPAN
+    solved = stage(dealt.mapInPandas(lambda frames: _solve_spans(frames, size), result), "skips")
+    return solved.select(*keys, "_child", "_k", "_skip0", "_skip1")
+
+
+def _whole_spans(frames: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
+    """The rows in pieces of about ``size`` that hold whole spans; a span begins at a multiple of it."""
+    held: list[pd.DataFrame] = []
+    rows = 0
+    for frame in frames:
+        begins = np.flatnonzero(frame["_rank"].to_numpy() % size == 0)
+        if rows >= size and len(begins):
+            yield pd.concat([*held, frame.iloc[: begins[-1]]], ignore_index=True)
+            held, rows, frame = [], 0, frame.iloc[begins[-1] :]
+        held.append(frame)
+        rows += len(frame)
+    if rows:
+        yield pd.concat(held, ignore_index=True)
+
+
+def _bounds(frame: pd.DataFrame, size: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """The step of each pair, where spans begin, and a count that none reaches.
+
+    A base that starts at suffix 1 has all its steps one lower, which is the same as a
+    count that is one higher.
+    """
+    top = int(frame["_rank"].max()) + 3
+    wanted = np.clip((frame["_k"] + 1 - frame["_before"]).to_numpy(), 0, top)
+    return wanted, np.flatnonzero(frame["_rank"].to_numpy() % size == 0), top
+
+
+def _solve_spans(frames: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
+    for frame in _whole_spans(frames, size):
+        bounds, first, top = _bounds(frame, size)
+        skips = {shift: np.zeros(len(frame), np.int64) for shift in (0, 1)}
+        for chosen, rows, padded in stepmaps.sequences(bounds, first):
+            maps, used = stepmaps.levels(padded, top), rows >= 0
+            for shift, skip in skips.items():
+                start = frame[f"_x{shift}"].to_numpy()[first[chosen]] + shift
+                count = stepmaps.counts_before(maps, start).reshape(rows.shape)
+                skip[rows[used]] = (count < padded)[used]
+        yield frame.assign(_skip0=skips[0], _skip1=skips[1])
+
+
+def _span_starts(spans: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, _span, _x0, _x1): the counts before each span of a base."""
+    chosen = [*keys, "_span"]
+    types = {f.name: f.dataType.simpleString() for f in spans.schema.fields}
+    size = SPAN
+
+    def compose(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in _whole_spans(frames, size):
+            bounds, first, top = _bounds(frame, size)
+            whole = {
+                at: maps
+                for group, _, padded in stepmaps.sequences(bounds, first)
+                for at, maps in zip(group.tolist(), stepmaps.levels(padded, top)[-1], strict=True)
+            }
+            out = frame.iloc[first][chosen].copy()
+            out["_map"] = [whole[i][whole[i] > 0] for i in range(len(first))]
+            yield out
+
+    schema = ", ".join(f"`{c}` {types[c]}" for c in chosen)
+    dealt = spans.repartition(*chosen).sortWithinPartitions(*chosen, "_k")
+    maps = stage(dealt.mapInPandas(compose, f"{schema}, _map array<bigint>"), "span-maps")
+
+    def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = [0, 1]
+        for frame in frames:
+            before = []
+            for span, thresholds in zip(frame["_span"], frame["_map"], strict=True):
+                if span == 0:
+                    counts = [0, 1]
+                before.append(counts)
+                counts = [x + len(thresholds) - int(np.searchsorted(thresholds, x, side="right")) for x in counts]
+            out = frame[chosen].copy()
+            out["_x0"], out["_x1"] = [b[0] for b in before], [b[1] - 1 for b in before]
+            yield out
+
+    # One base's maps pass through one task as a stream, a span at a time.
+    ordered = maps.repartition(*keys).sortWithinPartitions(*chosen)
+    return ordered.mapInPandas(fold, f"{schema}, _x0 bigint, _x1 bigint")
 
 
 def user_slugs(ws: Workspace, opts: JobOptions) -> DataFrame:

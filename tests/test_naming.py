@@ -1,9 +1,10 @@
 import random
 
+import numpy as np
 import pytest
 from helpers import make_workspace, unique_model
 
-from chatloom.operators import naming
+from chatloom.operators import naming, stepmaps
 from chatloom.operators.sequence import global_index, ordinal, position_in_group, previous, running_total
 from chatloom.plans.options import JobOptions
 from pyspark.sql import functions as F
@@ -63,15 +64,56 @@ def test_nested_names_take_few_rounds(spark, monkeypatch):
     assert rounds(spark, monkeypatch, names) <= 12
 
 
-def test_numbers_walked_in_several_spans(spark, monkeypatch):
-    monkeypatch.setattr(naming, "SPAN", 3)
-    rng = random.Random(9)
-    names = [rng.choice(["u", "u", "u", f"u-{rng.randint(1, 20)}", "u-1-1"]) for _ in range(60)]
+@pytest.mark.parametrize("span", [2, 8, 64])
+def test_numbers_solved_in_several_spans(spark, monkeypatch, span):
+    monkeypatch.setattr(naming, "SPAN", span)
+    rng = random.Random(span)
+    names = [rng.choice(["u", "u", "u", f"u-{rng.randint(1, 90)}", "u-1-1", "v", f"v-{rng.randint(1, 9)}"]) for _ in range(300)]
+    # "u-7" itself starts at suffix 1 where "u" has taken the name before.
+    names += [f"u-7-{rng.randint(1, 20)}" for _ in range(40)] + ["u-7"] * 12
     df = spark.createDataFrame(list(enumerate(names)), "i bigint, name string")
     got = {r.i: r.slug for r in naming.unique_slugs(df, "name", "i").collect()}
     assert [got[i] for i in range(len(names))] == unique_model(names)
 
 
+def test_rounds_do_not_grow_with_spans(spark, monkeypatch):
+    monkeypatch.setattr(naming, "SPAN", 64)
+    few, many = rounds(spark, monkeypatch, alternating(200)), 0
+    monkeypatch.setattr(naming, "SPAN", 64)
+    many = rounds(spark, monkeypatch, alternating(3000))
+    assert few == many <= 10
+
+
+def walked(bounds, count):
+    before = []
+    for bound in bounds:
+        before.append(count)
+        count += count < bound
+    return before, count
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_composed_steps_equal_a_walk(seed):
+    rng = np.random.default_rng(seed)
+    for _ in range(60):
+        lengths = rng.integers(1, 40, rng.integers(1, 8))
+        high = int(rng.integers(1, 60))
+        bounds = rng.integers(0, high, lengths.sum())
+        if rng.random() < 0.4:
+            bounds = np.clip(np.arange(len(bounds)) - rng.integers(0, 5, len(bounds)), 0, None)
+        top = int(bounds.max()) + 1 + len(bounds)
+        first = np.cumsum(lengths) - lengths
+        for chosen, rows, padded in stepmaps.sequences(bounds, first):
+            maps = stepmaps.levels(padded, top)
+            start = rng.integers(0, high + 3, len(chosen))
+            before = stepmaps.counts_before(maps, start).reshape(rows.shape)
+            for k, at in enumerate(chosen):
+                steps = bounds[first[at] : first[at] + lengths[at]]
+                want, end = walked(steps.tolist(), int(start[k]))
+                assert before[k][rows[k] >= 0].tolist() == want
+                assert start[k] + (maps[-1][k] > start[k]).sum() == end
+
+
 def test_unique_slugs_without_rivals(spark):
     names = [f"Name {i % 7}!" for i in range(100)]
     df = spark.createDataFrame(list(enumerate(names)), "i bigint, name string")
