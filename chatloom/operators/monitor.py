@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatloom.operators.sequence import previous, running_total
@@ -104,20 +104,39 @@ def increase(
 ) -> DataFrame:
     """(by…, minute, increase): counter growth over the range ending at each ``minute``.
 
-    A step counts where both its samples lie in (minute - range, minute].
+    A step counts where both its samples lie in (minute - range, minute]. It enters the
+    sum at one minute and leaves it at another: two events per step, whatever the range. Events
+    are summed per minute before the sweep, so a key has at most one row a minute there.
+    Sums are kept to nine decimals, so that what has left does not leave a rest.
     """
     steps = counter_steps(samples, series, tie).filter(F.col("step").isNotNull())
-    first = F.timestamp_seconds(F.ceil(F.unix_timestamp("ts") / 60) * 60)
-    last = F.timestamp_seconds(
-        (F.ceil(F.unix_timestamp("prev_ts") / 60) + range_minutes) * 60
-    ) - F.expr("INTERVAL 1 MINUTE")
-    # Evaluation minutes that still see the earlier sample; none when the gap is too wide.
-    minutes = F.when(first <= last, F.sequence(first, last, F.expr("INTERVAL 1 MINUTE")))
-    return (
-        steps.select(*by, "step", F.explode(minutes).alias("minute"))
-        .groupBy(*by, "minute")
-        .agg(F.sum("step").alias("increase"))
+    first = F.ceil(F.unix_timestamp("ts") / 60)
+    # The first minute that no longer sees the earlier sample; a wider gap is never inside.
+    after = F.ceil(F.unix_timestamp("prev_ts") / 60) + range_minutes
+    step = F.col("step").cast("decimal(38,9)")
+    events = steps.filter(first < after).select(
+        *by,
+        F.explode(
+            F.array(
+                F.struct(first.alias("at"), step.alias("step"), F.lit(1).alias("live")),
+                F.struct(after.alias("at"), (-step).alias("step"), F.lit(-1).alias("live")),
+            )
+        ).alias("e"),
     )
+    summed = events.groupBy(*by, "e.at").agg(F.sum("e.step").alias("step"), F.sum("e.live").alias("live"))
+    sweep = Window.partitionBy(*by).orderBy("at")
+    swept = summed.select(
+        *by,
+        "at",
+        F.lead("at").over(sweep).alias("next"),
+        F.sum("step").over(sweep).alias("increase"),
+        F.sum("live").over(sweep).alias("live"),
+    ).filter("live > 0")
+    return swept.select(
+        *by,
+        F.explode(F.sequence("at", F.col("next") - 1)).alias("at"),
+        F.col("increase").cast("double").alias("increase"),
+    ).select(*by, F.timestamp_seconds(F.col("at") * 60).alias("minute"), "increase")
 
 
 def increase_alert(samples: DataFrame, series: Sequence[str], by: Sequence[str], range_minutes: int = 15) -> DataFrame:

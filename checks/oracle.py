@@ -535,6 +535,32 @@ add(
     f"""SELECT p_partkey, p_name, base || CASE WHEN n = 1 THEN '' ELSE '-' || (n - 1) END AS slug FROM (
         SELECT *, row_number() OVER (PARTITION BY base ORDER BY p_partkey) AS n FROM (SELECT *, {slug('p_name')} AS base FROM part))""",
 )
+# Row after row: the first unused name. The n-th row of a base takes suffix n - 1 or, past the
+# names that rivals hold, at most one more for each of them.
+add(
+    "unique_slugs_rivals",
+    "SELECT p_partkey, name, slug FROM rival_walk JOIN rival_choices USING (i)",
+    {
+        "rival_based": f"""
+            SELECT *, {slug('name')} AS base, row_number() OVER (ORDER BY p_partkey) AS i FROM (
+                SELECT p_partkey, CASE WHEN p_size > 25 THEN 'Brand'
+                    WHEN p_size > 20 THEN 'Brand#' || p_size || ' ' || (p_partkey % 7) ELSE p_brand END AS name FROM part)""",
+        "rival_numbers": """
+            SELECT regexp_extract(base, '^(.+)-[1-9][0-9]*$', 1) AS base, count(DISTINCT base) AS rivals
+            FROM rival_based GROUP BY 1""",
+        "rival_choices": """
+            SELECT i, p_partkey, name, list_transform(range(n - 1, n + 1 + coalesce(rivals, 0)),
+                lambda k: CASE WHEN k = 0 THEN base ELSE base || '-' || k END) AS choice
+            FROM (SELECT *, row_number() OVER (PARTITION BY base ORDER BY i) AS n FROM rival_based)
+            LEFT JOIN rival_numbers USING (base)""",
+        "rival_walk": """
+            SELECT 0::BIGINT AS i, []::VARCHAR[] AS taken, ''::VARCHAR AS slug
+            UNION ALL
+            SELECT i, list_append(taken, slug), slug FROM (
+                SELECT c.i, w.taken, list_filter(c.choice, lambda x: NOT list_contains(w.taken, x))[1] AS slug
+                FROM rival_walk w JOIN rival_choices c ON c.i = w.i + 1)""",
+    },
+)
 for _name, _users in (
     ("slug_maps", "SELECT 'user' AS kind, NULL AS scope, username AS name, slug FROM user_map"),
     ("slug_maps_masked", f"SELECT DISTINCT 'user' AS kind, NULL AS scope, username AS name, {alias('username')} AS slug FROM users"),

@@ -1,12 +1,13 @@
 import __spark_entry__ as entry_module
+from checks.oracle import ORACLE
+from checks.queries import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
 
 
 def test_every_sql_belongs_to_a_query():
-    queries, sql = entry_module.queries(), entry_module.oracle_sql()
-    assert set(sql) <= set(queries)
-    assert set(queries) - set(sql) == {"payload_parts", "unique_slugs_rivals"}
+    assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry_lines(spark):
