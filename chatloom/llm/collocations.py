@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chatloom.llm.shards import SHARD_BYTES, shards, tables
+from chatloom.llm.shards import SHARD_BYTES, packed, shards, tables, unpacked
 from chatloom.llm.words import LOWER_BYTES
 from chatloom.operators.sequence import global_index
 from chatloom.plans.staging import stage
@@ -29,7 +29,9 @@ _STOP = b"."
 _LOWER = bytes(_STOP[0] if i in ENDS else c for i, c in enumerate(LOWER_BYTES))
 _U = np.uint64
 #: Keys a range of the merged filter should hold, and keys merged at a time.
-RANGE_KEYS = 1 << 21
+RANGE_KEYS = 1 << 20
+#: Words of a shard whose phrases are packed at a time.
+_SLICE = 1 << 18
 
 
 def piece_words(text: bytes | None) -> list[bytes]:
@@ -202,7 +204,7 @@ def _numbered(docs: DataFrame, lang_col: str, text_col: str, shard_bytes: int) -
             for text, i in number.items():
                 entries[i] = {"lang": lang, "word": text, "n": int(often[i])}
         return [
-            pa.array([seq.tobytes()], pa.binary()),
+            pa.array([packed(seq)], pa.binary()),
             pa.array([n_words + 1], pa.int32()),
             pa.array([entries[1:]], pa.list_(word)),
         ]
@@ -212,11 +214,12 @@ def _numbered(docs: DataFrame, lang_col: str, text_col: str, shard_bytes: int) -
     return stage(shards(rows, build, schema, 1, shard_bytes), "word-shards")
 
 
-def _keys(ids: np.ndarray, packing: Packing) -> tuple[np.ndarray, np.ndarray]:
-    """Packed two- and three-word phrases of a shard; 0 belongs to no phrase."""
+def _keys(ids: np.ndarray, packing: Packing, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Packed phrases of two and three words that begin in the first ``most`` words; 0 belongs to none."""
     a, b = ids[:-1], ids[1:]
     two = (a > 0) & (b > 0)
     three = two[:-1] & two[1:] if len(two) else two
+    a, b, two, three = a[:most], b[:most], two[:most], three[:most]
     pair = packing.pack(a[two], b[two], np.zeros(int(two.sum()), _U))
     at = np.flatnonzero(three)
     triple = packing.pack(ids[at], ids[at + 1], ids[at + 2])
@@ -308,9 +311,14 @@ def phrase_counts(
                 number = np.zeros(batch.column(1)[i].as_py(), _U)
                 local, ids = (batch.column(k)[i].values.to_numpy(zero_copy_only=False) for k in (2, 3))
                 number[local] = ids
-                seq = np.frombuffer(batch.column(0)[i].as_buffer(), "<i4")
-                high, low = mixing.there(*_keys(number[seq], packing))
-                counted = Filter.counting(high, low, half)
+                seq = unpacked(batch.column(0)[i].as_py())
+                counted = Filter.merged(
+                    [
+                        Filter.counting(*mixing.there(*_keys(number[seq[at : at + _SLICE + 2]], packing, _SLICE)), half)
+                        for at in range(0, len(seq), _SLICE)
+                    ],
+                    half,
+                )
                 for owner, part in counted.cut(range_bits, half):
                     data = part.to_bytes(range_bits, half)
                     yield pa.RecordBatch.from_arrays([pa.array([owner], pa.int32()), pa.array([data], pa.binary())], ["range", "data"])

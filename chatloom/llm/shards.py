@@ -11,12 +11,24 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text in a shard; a longer text is a shard of its own.
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
+
+
+def packed(numbers: np.ndarray) -> bytes:
+    """Numbers below 2^32 as compressed bytes: small ones leave whole planes of zeros."""
+    planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
+    return planes.T.copy().view("<u4").ravel().astype(np.int64)
 
 
 def shards(
@@ -58,9 +70,9 @@ def tables(values: DataFrame, fields: Column) -> DataFrame:
     return values.groupBy("shard").agg(F.collect_list(fields).alias("known"))
 
 
-def by_number(known: list[dict] | None, field: str, size: int, dtype=np.int64) -> np.ndarray:
-    """One field of a shard's table as an array over its word numbers, 0 where it has none."""
-    out = np.zeros(size, dtype)
-    if known:
-        out[[k["local"] for k in known]] = [k[field] for k in known]
+def by_number(known: pa.ListScalar, field: str, out: np.ndarray) -> np.ndarray:
+    """``out``, by word number, with one field of a shard's table put where the table has it."""
+    if known.is_valid:
+        rows = known.values
+        out[rows.field("local").to_numpy()] = rows.field(field).to_numpy()
     return out
