@@ -194,6 +194,32 @@ def sustained(
     )
 
 
+def held(
+    samples: DataFrame,
+    series: Sequence[str],
+    predicate: Column,
+    minutes: int,
+    until: Column,
+    tie: str = "event_id",
+) -> DataFrame:
+    """(series…, since, fires_at): stretches that no sample has ended in time, seen at ``until``.
+
+    Unlike in ``sustained``, a stretch goes on until a sample that ends it, so it fires
+    without a further sample. Samples after ``until`` are not looked at.
+    """
+    seen = samples.filter(F.col("ts") <= until).withColumn("_ok", F.coalesce(predicate, F.lit(False)))
+    before = previous(seen, series, ["ts", tie], _span(), {"_ok": "_before"})
+    # Samples that change the state, and for each the next such sample.
+    turns = before.filter(F.col("_ok") != F.coalesce("_before", F.lit(False))).select(*series, "ts", tie, "_ok")
+    # Going back in time, the sample before is the next one.
+    back = turns.withColumns({"_back": -F.unix_micros("ts"), "_tie": -F.col(tie)})
+    stretches = previous(back, series, ["_back", "_tie"], -_span(), {"ts": "_end"})
+    fires = F.col("ts") + F.expr(f"INTERVAL {minutes} MINUTE")
+    return stretches.filter(F.col("_ok") & (fires <= until) & (F.col("_end").isNull() | (F.col("_end") > fires))).select(
+        *series, F.col("ts").alias("since"), fires.alias("fires_at")
+    )
+
+
 def parse_logs(lines: DataFrame) -> DataFrame:
     """JSON log lines to columns; the container name loses its leading slash."""
     return lines.select(

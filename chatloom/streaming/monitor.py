@@ -6,14 +6,17 @@ Late rows behind the watermark are dropped by Structured Streaming.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from datetime import datetime, timedelta
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from chatloom.operators.monitor import parse_logs, select_logs
 
+EPOCH = datetime(1970, 1, 1)
+
 
 def counters(stream: DataFrame, *labels: str) -> DataFrame:
     """Running counter per label set; use output mode ``update`` or ``complete``."""
@@ -25,43 +28,95 @@ def latest_gauge(stream: DataFrame, series: list[str]) -> DataFrame:
     return stream.groupBy(*series).agg(F.max_by("value", "ts").alias("value"))
 
 
-class CounterSteps(StatefulProcessor):
-    """Per series: growth since the sample before, across micro-batches."""
+class InOrder(StatefulProcessor):
+    """Per series: holds rows until the watermark has passed them, then hands them on by time.
+
+    Rows of one series may come in any order within the watermark's delay. They wait in a
+    list state; a timer at the earliest of them lets go what the watermark covers, as
+    nothing older can follow. ``released`` sees every row once, ordered by time and tie.
+    """
+
+    FIELDS = "ts timestamp, tie bigint, value double"
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._last = handle.getValueState("last", "ts timestamp, value double")
+        self._handle = handle
+        self._waiting = handle.getListState("waiting", self.FIELDS)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values("ts", kind="stable")
-        last = self._last.get()
-        prev = batch["value"].shift(1)
-        if last is not None:
-            prev.iloc[0] = last[1]
-        step = batch["value"] - prev
-        step = step.where(step >= 0, batch["value"]).where(prev.notna())
-        tail = batch.iloc[-1]
-        self._last.update((tail["ts"].to_pydatetime(), float(tail["value"])))
-        out = pd.DataFrame({"series": key[0], "ts": batch["ts"], "step": step})
-        yield out[out["step"].notna()]
+        batch = pd.concat(list(rows), ignore_index=True)
+        batch = batch[batch["ts"].notna()]
+        if len(batch):
+            fresh = zip(batch["ts"].tolist(), batch["tie"].tolist(), batch["value"].astype(float), strict=True)
+            self._waiting.appendList([(ts.to_pydatetime(), int(tie), float(value)) for ts, tie, value in fresh])
+            self._handle.registerTimer(_later_ms(batch["ts"].min()))
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs()
+        waiting = sorted(self._waiting.get(), key=lambda row: (row[0], row[1]))
+        due = [row for row in waiting if _later_ms(row[0]) <= passed]
+        if due:
+            left = waiting[len(due) :]
+            self._waiting.clear()
+            if left:
+                self._waiting.put(left)
+                self._handle.registerTimer(_later_ms(left[0][0]))
+        yield self.released(key[0], due, passed)
+
+    def released(self, series: str, rows: list[tuple], passed_ms: int) -> pd.DataFrame:
+        raise NotImplementedError
 
     def close(self) -> None:
         pass
 
 
-def counter_steps(stream: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """(series, ts, step) of a (series, ts, value) counter stream."""
+def _later_ms(ts: datetime) -> int:
+    """Milliseconds since 1970 in UTC, rounded up; state and frames hold session time without a zone."""
+    return -((EPOCH - pd.Timestamp(ts).to_pydatetime().replace(tzinfo=None)) // timedelta(milliseconds=1))
+
+
+class CounterSteps(InOrder):
+    """Growth since the sample before; a reset counts in full."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self._last = handle.getValueState("last", "value double")
+
+    def released(self, series: str, rows: list[tuple], passed_ms: int) -> pd.DataFrame:
+        last = self._last.get()
+        before = last[0] if last is not None else None
+        out = []
+        for ts, _, value in rows:
+            if before is not None:
+                out.append((series, ts, value - before if value >= before else value))
+            before = value
+        if rows:
+            self._last.update((before,))
+        return pd.DataFrame(out, columns=["series", "ts", "step"])
+
+
+def _per_series(stream: DataFrame, delay: str, value: Column, tie: str | None, processor: InOrder, out: str) -> DataFrame:
+    """Feed (series, ts, tie, value) to the processor; rows with equal times go by ``tie``."""
+    fields = stream.select("series", "ts", (F.col(tie) if tie else F.lit(0)).cast("bigint").alias("tie"), value.alias("value"))
     return (
-        stream.withWatermark("ts", delay)
+        fields.withWatermark("ts", delay)
         .groupBy("series")
         .transformWithStateInPandas(
-            statefulProcessor=CounterSteps(),
-            outputStructType="series string, ts timestamp, step double",
-            outputMode="Append",
-            timeMode="None",
+            statefulProcessor=processor, outputStructType=out, outputMode="Append", timeMode="EventTime"
         )
     )
 
 
+def counter_steps(stream: DataFrame, delay: str = "10 minutes", tie: str | None = None) -> DataFrame:
+    """(series, ts, step) of a (series, ts, value) counter stream, in event time.
+
+    Same rows as the batch form over the samples the watermark has passed, in whatever
+    order they came; samples behind the watermark are dropped.
+    """
+    value = F.col("value").cast("double")
+    return _per_series(stream, delay, value, tie, CounterSteps(), "series string, ts timestamp, step double")
+
+
 def windowed_increase(steps: DataFrame, by: list[str], range_: str, slide: str, delay: str = "10 minutes") -> DataFrame:
     """Growth per sliding window of a (ts, step) stream."""
     return (
@@ -71,50 +126,50 @@ def windowed_increase(steps: DataFrame, by: list[str], range_: str, slide: str,
     )
 
 
-class HeldThreshold(StatefulProcessor):
-    """Per series: since when the condition holds; emits once when held long enough."""
+class HeldThreshold(InOrder):
+    """Since when the condition holds; fires once when no sample has ended it in time."""
 
-    def __init__(self, hold_seconds: float):
-        self._hold = hold_seconds
+    def __init__(self, hold: timedelta):
+        self._hold = hold
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
         self._since = handle.getValueState("since", "since timestamp, fired boolean")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values("ts", kind="stable")
+    def released(self, series: str, rows: list[tuple], passed_ms: int) -> pd.DataFrame:
         state = self._since.get()
-        since, fired = (pd.Timestamp(state[0]), state[1]) if state is not None else (None, False)
+        since, fired = (state[0], state[1]) if state is not None else (None, False)
         alerts = []
-        for ts, ok in zip(batch["ts"], batch["ok"], strict=True):
-            if not ok:
-                since, fired = None, False
+        for ts, _, value in rows:
+            if value > 0:
+                since, fired = (ts, False) if since is None else (since, fired)
                 continue
-            since = ts if since is None else since
-            if not fired and (ts - since).total_seconds() >= self._hold:
-                fired = True
-                alerts.append((key[0], since, ts))
+            if since is not None and not fired and since + self._hold < ts:
+                alerts.append((series, since, since + self._hold))
+            since, fired = None, False
         if since is None:
             self._since.clear()
         else:
-            self._since.update((since.to_pydatetime(), fired))
-        yield pd.DataFrame(alerts, columns=["series", "since", "seen_at"])
-
-    def close(self) -> None:
-        pass
-
-
-def held_threshold(stream: DataFrame, hold_seconds: float, delay: str = "10 minutes") -> DataFrame:
-    """(series, since, seen_at) for a (series, ts, ok) stream, one row per held stretch."""
-    return (
-        stream.withWatermark("ts", delay)
-        .groupBy("series")
-        .transformWithStateInPandas(
-            statefulProcessor=HeldThreshold(hold_seconds),
-            outputStructType="series string, since timestamp, seen_at timestamp",
-            outputMode="Append",
-            timeMode="None",
-        )
-    )
+            deadline = _later_ms(since + self._hold)
+            if not fired and deadline <= passed_ms:
+                alerts.append((series, since, since + self._hold))
+                fired = True
+            elif not fired:
+                # Fires by itself, without a further sample.
+                self._handle.registerTimer(deadline)
+            self._since.update((since, fired))
+        return pd.DataFrame(alerts, columns=["series", "since", "fires_at"])
+
+
+def held_threshold(stream: DataFrame, hold_seconds: float, delay: str = "10 minutes", tie: str | None = None) -> DataFrame:
+    """(series, since, fires_at) for a (series, ts, ok) stream, one row per stretch held long enough.
+
+    A stretch lasts until a sample ends it: the batch form is ``monitor.held``. The alert comes
+    when the watermark passes ``fires_at``.
+    """
+    ok = F.when(F.col("ok"), 1.0).otherwise(0.0)
+    processor = HeldThreshold(timedelta(seconds=hold_seconds))
+    return _per_series(stream, delay, ok, tie, processor, "series string, since timestamp, fires_at timestamp")
 
 
 def logs(stream: DataFrame, **labels: str) -> DataFrame:

@@ -747,6 +747,27 @@ add(
         SELECT *, sum((NOT down)::INT) OVER (PARTITION BY series, container ORDER BY ts, event_id) AS stretch FROM samples)
     WHERE down GROUP BY series, container, stretch HAVING max(ts) >= min(ts) + INTERVAL 5 MINUTE""",
 )
+# A stream has handed on what its watermark has passed: all but the last days.
+_PASSED = "(SELECT max(ts) FROM samples) - INTERVAL 12 DAY"
+add(
+    "stream_counter_steps",
+    f"SELECT series || '/' || container AS series, ts, step FROM steps WHERE ts <= {_PASSED}",
+)
+
+
+def held(end: str) -> str:
+    """Runs of samples that are down, up to the next sample that is not."""
+    return f"""SELECT series, container, since, since + INTERVAL 6 HOUR AS fires_at FROM (
+        SELECT series, container, min(ts) FILTER (down) AS since,
+            lead(min(ts) FILTER (NOT down)) OVER (PARTITION BY series, container ORDER BY stretch) AS ended
+        FROM (SELECT *, sum((NOT down)::INT) OVER (PARTITION BY series, container ORDER BY ts, event_id) AS stretch
+            FROM samples WHERE ts <= {end})
+        GROUP BY series, container, stretch)
+    WHERE since + INTERVAL 6 HOUR <= {end} AND (ended IS NULL OR ended > since + INTERVAL 6 HOUR)"""
+
+
+add("stream_held_alert", f"SELECT series || '/' || container AS series, since, fires_at FROM ({held(_PASSED)})")
+add("held_alert", held("(SELECT max(ts) FROM samples)"))
 add(
     "select_series",
     "SELECT event_id, ts, 'memory_bytes' AS metric, gauge AS value, series FROM samples WHERE container = 'click'",

@@ -18,6 +18,7 @@ from chatloom.plans.options import JobOptions
 from chatloom.plans.staging import stage, stage_path
 from chatloom.plans.workspace import Workspace
 from chatloom.sources import api_pages, documents, payload, relational
+from chatloom.streaming import monitor as live
 
 PLAIN = JobOptions()
 ANON = JobOptions(anonymize=True)
@@ -974,6 +975,55 @@ def sustained_alert(spark, folder):
     return held
 
 
+def _arrivals(spark, folder, metric: str) -> DataFrame:
+    """Samples as a stream of files: three slices by arrival, each row up to a day late."""
+    late = F.make_dt_interval(secs=F.pmod(F.xxhash64("event_id"), F.lit(86_400)))
+    arrived = _samples(spark, folder, metric).select(
+        F.concat_ws("/", "series", "container").alias("series"), "ts", "event_id", "value",
+        F.unix_timestamp(F.col("ts") + late).alias("arrived"),
+    )
+    arrived = stage(arrived, "arrivals")
+    bounds = arrived.agg(F.min("arrived").alias("low"), F.max("arrived").alias("high")).first()
+    width = ((bounds.high or 0) - (bounds.low or 0)) // 3 + 1
+    path = stage_path(spark, "stream-in")
+    for number in range(3):
+        part = arrived.filter(F.floor((F.col("arrived") - (bounds.low or 0)) / width) == number)
+        part.drop("arrived").write.mode("append").parquet(path)
+    return spark.readStream.schema(arrived.drop("arrived").schema).option("maxFilesPerTrigger", 8).parquet(path)
+
+
+def _drained(out: DataFrame, label: str) -> DataFrame:
+    """What a stream has written when it has taken all that is there."""
+    spark = out.sparkSession
+    path = stage_path(spark, label)
+    writer = out.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
+    writer.option("checkpointLocation", stage_path(spark, f"{label}-state")).start(path).awaitTermination()
+    return spark.read.schema(out.schema).parquet(path)
+
+
+DELAY_DAYS = 12  # longer than a slice of the month and a day
+
+
+@query("stream_counter_steps")
+def stream_counter_steps(spark, folder):
+    arrivals = _arrivals(spark, folder, "work_total")
+    return _drained(live.counter_steps(arrivals, f"{DELAY_DAYS} days", "event_id"), "live-steps")
+
+
+@query("stream_held_alert")
+def stream_held_alert(spark, folder):
+    down = _arrivals(spark, folder, "up").withColumn("ok", F.col("value") == 0)
+    return _drained(live.held_threshold(down, 6 * 3600, f"{DELAY_DAYS} days", "event_id"), "live-held")
+
+
+@query("held_alert")
+def held_alert(spark, folder):
+    """The batch form of the alert, at the end of all samples."""
+    ups = _samples(spark, folder, "up")
+    end = ups.agg(F.max("ts").alias("end")).first().end
+    return monitor.held(ups, ["series", "container"], F.col("value") == 0, 360, F.lit(end))
+
+
 @query("select_series")
 def select_series(spark, folder):
     picked = monitor.select_series(relational.samples(spark, folder), "mem*", container="click")

@@ -1,3 +1,4 @@
+import random
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
@@ -88,24 +89,64 @@ def test_stream_counters(spark, tmp_path):
     assert {r.type: r.total for r in got} == {"post": 2, "user": 1}
 
 
-def test_stream_counter_steps(spark, tmp_path):
-    batches = [
-        [("a", at(0), 5.0), ("a", at(1), 7.0), ("b", at(0), 1.0)],
-        [("a", at(2), 3.0), ("b", at(3), 4.0)],
-    ]
-    src = stream_of(spark, tmp_path, batches, "series string, ts timestamp, value double")
-    got = drain(live.counter_steps(src), "live_steps", "append", tmp_path)
-    assert sorted((r.series, r.ts, r.step) for r in got) == [("a", at(1), 2.0), ("a", at(2), 3.0), ("b", at(3), 3.0)]
-
-
-def test_stream_held_threshold(spark, tmp_path):
-    batches = [
-        [("a", at(0), True), ("a", at(3), True), ("b", at(0), True), ("b", at(1), False)],
-        [("a", at(6), True), ("a", at(9), True), ("b", at(7), True)],
-    ]
+def shuffled_batches(rows, order, minutes):
+    """Rows (ts first) in small batches, each at most ``minutes`` behind the latest seen before."""
+    rows = sorted(rows, key=lambda r: r[0])
+    moved = sorted(rows, key=lambda r: r[0] + timedelta(minutes=order.uniform(0, minutes - 1)))
+    return [moved[i : i + 9] for i in range(0, len(moved), 9)]
+
+
+def test_stream_counter_steps_in_any_order(spark, tmp_path):
+    order = random.Random(3)
+    rows = [(at(order.choice(range(120))), i, order.choice("ab"), float(order.randint(0, 9))) for i in range(70)]
+    last = (at(200), 99, "a", 1.0)  # lets the watermark pass all others
+    schema = "ts timestamp, event_id bigint, series string, value double"
+    src = stream_of(spark, tmp_path, [*shuffled_batches(rows, order, 30), [last]], schema)
+    got = drain(live.counter_steps(src, "30 minutes", "event_id"), "live_steps", "append", tmp_path)
+    batch = monitor.counter_steps(spark.createDataFrame(rows, schema), ["series"]).filter("step is not null").collect()
+    assert sorted((r.series, r.ts, r.step) for r in got) == sorted((r.series, r.ts, r.step) for r in batch)
+
+
+def test_stream_steps_of_late_rows(spark, tmp_path):
+    batches = [[(at(0), 5.0), (at(10), 20.0)], [(at(5), 8.0)], [(at(12), 22.0)], [(at(40), 0.0)]]
+    rows = [[("a", *row) for row in batch] for batch in batches]
+    src = stream_of(spark, tmp_path, rows, "series string, ts timestamp, value double")
+    got = drain(live.counter_steps(src, "10 minutes"), "late_steps", "append", tmp_path)
+    assert [(r.ts, r.step) for r in sorted(got, key=lambda r: r.ts)] == [(at(5), 3.0), (at(10), 12.0), (at(12), 2.0)]
+
+
+def held_model(rows, hold, end):
+    out = []
+    for series in {r[2] for r in rows}:
+        since, fired = None, False
+        line = sorted(r for r in rows if r[2] == series and r[0] <= end)
+        for ts, _, _, ok in [*line, (end + timedelta(days=9), 0, series, False)]:
+            if ok:
+                since = ts if since is None else since
+            else:
+                if since is not None and since + hold < ts and since + hold <= end:
+                    out.append((series, since, since + hold))
+                since = None
+    return sorted(out)
+
+
+def test_stream_held_threshold_in_any_order(spark, tmp_path):
+    order = random.Random(4)
+    rows = [(at(order.choice(range(300))), i, order.choice("abc"), order.random() < 0.7) for i in range(80)]
+    schema = "ts timestamp, event_id bigint, series string, ok boolean"
+    src = stream_of(spark, tmp_path, [*shuffled_batches(rows, order, 30), [(at(330), 99, "z", False)]], schema)
+    got = drain(live.held_threshold(src, 300, "30 minutes", "event_id"), "live_held", "append", tmp_path)
+    want = held_model(rows, timedelta(minutes=5), at(300))
+    assert sorted((r.series, r.since, r.fires_at) for r in got) == want and len(want) > 5
+    batch = monitor.held(spark.createDataFrame(rows, schema), ["series"], F.col("ok"), 5, F.lit(at(300))).collect()
+    assert sorted((r.series, r.since, r.fires_at) for r in batch) == want
+
+
+def test_stream_alert_needs_no_further_sample(spark, tmp_path):
+    batches = [[("a", at(0), True), ("b", at(0), False)], [("a", at(4), True), ("a", at(3.5), False)], [("b", at(9), False)], [("b", at(10), False)]]
     src = stream_of(spark, tmp_path, batches, "series string, ts timestamp, ok boolean")
-    got = drain(live.held_threshold(src, 300), "live_held", "append", tmp_path)
-    assert [(r.series, r.since, r.seen_at) for r in got] == [("a", at(0), at(6))]
+    got = drain(live.held_threshold(src, 300, "1 minute"), "alone", "append", tmp_path)
+    assert [(r.series, r.since, r.fires_at) for r in got] == [("a", at(4), at(9))]
 
 
 def test_stream_windows_and_logs(spark, tmp_path):
