@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chatloom.llm.shards import SHARD_BYTES, packed, shards, tables, unpacked
+from chatloom.llm.shards import SHARD_BYTES, one_list, packed, shards, tables, unpacked
 from chatloom.llm.words import LOWER_BYTES
 from chatloom.operators.sequence import global_index
 from chatloom.plans.staging import stage
@@ -30,6 +30,8 @@ _LOWER = bytes(_STOP[0] if i in ENDS else c for i, c in enumerate(LOWER_BYTES))
 _U = np.uint64
 #: Keys a range of the merged filter should hold, and keys merged at a time.
 RANGE_KEYS = 1 << 20
+#: Parts of a language's candidates that are ranked on their own first.
+_BUCKETS = 32
 #: Words of a shard whose phrases are packed at a time.
 _SLICE = 1 << 18
 
@@ -184,7 +186,6 @@ def _long(data: bytes, at: int, n: int, width: int) -> tuple[np.ndarray, int]:
 
 def _numbered(docs: DataFrame, lang_col: str, text_col: str, shard_bytes: int) -> DataFrame:
     """Shards: word numbers in order (0 ends a piece), and (lang, word, n) of each number from 1 on."""
-    word = pa.struct([("lang", pa.string()), ("word", pa.binary()), ("n", pa.int64())])
 
     def build(rows: list[tuple]) -> list[pa.Array]:
         numbers = count(1)
@@ -199,14 +200,17 @@ def _numbered(docs: DataFrame, lang_col: str, text_col: str, shard_bytes: int) -
         seq = np.concatenate(parts)
         n_words = sum(len(number) - 1 for number in known.values())
         often = np.bincount(seq, minlength=n_words + 1)
-        entries: list = [None] * (n_words + 1)
-        for lang, number in known.items():
-            for text, i in number.items():
-                entries[i] = {"lang": lang, "word": text, "n": int(often[i])}
+        # By number; numbers of one language are in order among themselves.
+        own = [(lang, list(number)[1:], list(number.values())[1:]) for lang, number in known.items()]
+        place = np.argsort(np.concatenate([np.array(n, np.int64) for _, _, n in own]))
+        words = pa.array([w for _, texts, _ in own for w in texts], pa.binary()).take(pa.array(place))
+        langs = pa.array(np.repeat(np.arange(len(own)), [len(n) for _, _, n in own])[place], pa.int32())
+        langs = pa.DictionaryArray.from_arrays(langs, pa.array([lang for lang, _, _ in own], pa.string())).cast(pa.string())
+        entries = pa.StructArray.from_arrays([langs, words, pa.array(often[1:])], ["lang", "word", "n"])
         return [
             pa.array([packed(seq)], pa.binary()),
             pa.array([n_words + 1], pa.int32()),
-            pa.array([entries[1:]], pa.list_(word)),
+            one_list(entries),
         ]
 
     rows = docs.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.col(text_col).cast("binary").alias("t"))
@@ -403,13 +407,13 @@ def collocations(
         .join(text[3], "w3", "left")
         .select("lang", F.concat_ws(" ", "t1", "t2", "t3").alias("phrase"), "a", "l", "r", "score")
     )
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = named
+    ranked = named.withColumn("rank", F.lit(None).cast("int"))
     if top is not None:
-        # Ranks up to a limit are cut in every task before the shuffle.
-        ranked = named.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
-    else:
-        ranked = named.withColumn("rank", F.lit(None).cast("int"))
+        # The best of each of some buckets first, so that one task ranks a bounded number.
+        best = (F.desc("score"), F.desc("a"), "phrase")
+        for share in ([F.pmod(F.hash("phrase"), F.lit(_BUCKETS))], []):
+            place = F.row_number().over(Window.partitionBy("lang", *share).orderBy(*best))
+            ranked = ranked.withColumn("rank", place).where(F.col("rank") <= top)
     return ranked.join(counted.totals, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"
     )

@@ -31,6 +31,11 @@ def unpacked(data: bytes) -> np.ndarray:
     return planes.T.copy().view("<u4").ravel().astype(np.int64)
 
 
+def one_list(values: pa.Array) -> pa.ListArray:
+    """An array of one list with all the values."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
 def shards(
     rows: DataFrame, build: Callable[[list[tuple]], list], schema: str, size_of: int, shard_bytes: int = SHARD_BYTES
 ) -> DataFrame:
