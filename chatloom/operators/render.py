@@ -34,6 +34,21 @@ HEADER_PREFIX = "Migrated from Teams: "
 ANONYMOUS_NICKNAME = "Anonymized User"
 DIRECT_POST_PREFIX = "direct-post-"
 FORMAT_VERSION = 1
+_FILES = "array<struct<file_id:string,path:string>>"
+_ROLES = "name:string,roles:array<string>"
+#: Types of the records as they are read back from JSON lines.
+RECORD_SCHEMA = (
+    "version int, "
+    "team struct<description:string,display_name:string,name:string,type:string>, "
+    "channel struct<display_name:string,header:string,name:string,team:string,type:string>, "
+    "user struct<auth_data:string,auth_service:string,email:string,nickname:string,"
+    f"teams:array<struct<channels:array<struct<{_ROLES}>>,{_ROLES}>>,username:string>, "
+    f"post struct<attachments:{_FILES},channel:string,create_at:bigint,file_ids:array<string>,id:string,"
+    "import_id:string,message:string,root_id:string,team:string,user:string>, "
+    "direct_channel struct<members:array<string>>, "
+    f"direct_post struct<attachments:{_FILES},channel_members:array<string>,create_at:bigint,"
+    "file_ids:array<string>,id:string,import_id:string,message:string,user:string>"
+)
 RECORD_TYPES = ("version", "team", "channel", "user", "post", "direct_channel", "direct_post")
 
 

@@ -76,6 +76,13 @@ def resume_state(records: DataFrame) -> DataFrame:
     )
 
 
+def merged_state(state: DataFrame, batch: DataFrame) -> DataFrame:
+    """The state after a further batch of records, from the state before it alone."""
+    both = state.unionByName(resume_state(batch))
+    latest = both.groupBy("type", "scope").agg(F.max("last_ts").alias("last_ts"))
+    return both.join(latest, ["type", "scope", "last_ts"], "left_semi").distinct()
+
+
 def finished_scopes(records: DataFrame, ended: bool = False) -> DataFrame:
     """(type, scope) of channels the writer has left behind.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +10,7 @@ from chatloom.operators import attachments, render, resume, validate
 from chatloom.plans.options import JobOptions
 from chatloom.plans.staging import stage
 from chatloom.plans.workspace import Workspace, staged
-from chatloom.sources import payload
+from chatloom.sources import payload, resumable
 
 
 def build_payload(
@@ -35,6 +36,18 @@ def summarize(ws: Workspace, records: DataFrame, input_bytes: int = 0) -> DataFr
     )
 
 
+def source_bytes(source: DataFrame) -> int:
+    """Bytes of the files a table is read from: their metadata is looked at, not their rows.
+
+    A table that comes from no files has none.
+    """
+    try:
+        files = source.select("_metadata.file_path", "_metadata.file_size").distinct()
+    except AnalysisException:
+        return 0
+    return files.agg(F.coalesce(F.sum("file_size"), F.lit(0)).alias("bytes")).first().bytes
+
+
 def run(
     ws: Workspace,
     opts: JobOptions,
@@ -42,19 +55,28 @@ def run(
     listing: DataFrame | None = None,
     written: DataFrame | None = None,
     input_bytes: int = 0,
+    source: DataFrame | None = None,
+    stem: str = "payload",
 ) -> DataFrame:
     """Check the workspace, write its payload below ``output`` and return the summary.
 
-    ``written`` holds the records of an earlier, interrupted run.
+    With a part size, ``output`` holds numbered parts and a manifest, and a run goes on where
+    the manifest ends; otherwise ``written`` may hold the records of an earlier run.
+    ``source`` is what the workspace was read from; its files give the summary's bytes.
     """
+    spark = ws.posts.sparkSession
+    taken = source_bytes(source) if source is not None else input_bytes
     ws = staged(ws)
     validate.check(ws, opts.fail_on_empty)
     records = build_payload(ws, opts, listing)
-    if opts.resume:
-        records = resume.remaining(records, written)
-    records = stage(records, "records")
     if opts.max_chunk_mb:
-        payload.write_parts(payload.with_parts(records, opts.batch_size, opts.max_chunk_mb), output)
+        folder = resumable.Folder(spark, output, stem)
+        start = resumable.gate(folder) if opts.resume else resumable.Gate(False, None, 0)
+        records = stage(resume.remaining(records, start.written), "records")
+        resumable.write(folder, records, opts.batch_size, opts.max_chunk_mb, start)
     else:
+        if opts.resume:
+            records = resume.remaining(records, written)
+        records = stage(records, "records")
         payload.write_payload(records, output)
-    return summarize(ws, records, input_bytes)
+    return summarize(ws, records, taken)

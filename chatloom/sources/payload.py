@@ -95,16 +95,29 @@ def part_numbers(batches: DataFrame, limit: int) -> DataFrame:
     )
 
 
-def with_parts(records: DataFrame, batch_size: int, max_chunk_mb: int) -> DataFrame:
-    """(part, n, line): lines in order with their part; parts after the first get a header."""
+def with_parts(
+    records: DataFrame, batch_size: int, max_chunk_mb: int, last: tuple[int, int] | None = None
+) -> DataFrame:
+    """(part, n, line): lines in order with their part; parts after the first get a header.
+
+    ``last`` is the number and the bytes of a part that the first of these lines go on with.
+    """
     lines = global_index(json_lines(records), ORDER, "n", label="payload").select(
         "n", "line", F.floor(F.col("n") / batch_size).alias("batch")
     )
     batches = lines.groupBy("batch").agg(F.sum(F.octet_length("line") + 1).alias("bytes"))
-    numbered = stage(part_numbers(batches, max_chunk_mb * MEGABYTE), "parts")
+    begun = 1
+    if last:
+        # What is there already counts as a batch before all others.
+        begun, size = last
+        lines = lines.withColumn("batch", F.col("batch") + 1)
+        there = records.sparkSession.createDataFrame([(0, size)], "batch bigint, bytes bigint")
+        batches = there.unionByName(batches.withColumn("batch", F.col("batch") + 1))
+    numbered = part_numbers(batches, max_chunk_mb * MEGABYTE).withColumn("part", F.col("part") + (begun - 1))
+    numbered = stage(numbered, "parts")
     body = lines.join(numbered.select("batch", "part"), "batch").select("part", "n", "line")
     heads = (
-        numbered.filter("part > 1")
+        numbered.filter(F.col("part") > begun)
         .select("part")
         .distinct()
         .select("part", F.lit(-1).cast("bigint").alias("n"), F.lit(VERSION_LINE).alias("line"))

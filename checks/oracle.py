@@ -677,6 +677,15 @@ add(
 )
 add("record_stats", "SELECT type, count(*) AS records FROM flat GROUP BY type")
 
+add("resume_state_batches", STATE.format(src="scoped"), {"scoped": SCOPED})
+UNWRITTEN = f"type <> 'version' AND NOT EXISTS (SELECT 1 FROM ({DONE}) d WHERE d.type = f.type AND d.name = f.name)"
+add("resume_payload", f"SELECT {FLAT} FROM flat f WHERE coalesce(create_at, 0) < {CUT} OR ({UNWRITTEN})")
+add(
+    "resume_gate",
+    f"""SELECT 'with manifest' AS payload, true AS resumed, type, count(*) AS records FROM flat f WHERE {UNWRITTEN} GROUP BY type
+    UNION ALL SELECT payload, false, type, count(*) FROM flat, (VALUES ('no manifest'), ('no payload')) p(payload) GROUP BY ALL""",
+)
+
 # --- after the import ----------------------------------------------------------------
 
 KEPT = """

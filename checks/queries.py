@@ -17,7 +17,7 @@ from chatloom.plans import job
 from chatloom.plans.options import JobOptions
 from chatloom.plans.staging import stage, stage_path
 from chatloom.plans.workspace import Workspace
-from chatloom.sources import api_pages, documents, payload, relational
+from chatloom.sources import api_pages, documents, payload, relational, resumable
 from chatloom.streaming import monitor as live
 
 PLAIN = JobOptions()
@@ -888,6 +888,54 @@ def record_stats(spark, folder):
     return resume.record_stats(_written(spark, folder))
 
 
+@query("resume_state_batches")
+def resume_state_batches(spark, folder):
+    """The state kept up over four batches of records instead of worked out at the end."""
+    records = _written(spark, folder)
+    key = F.coalesce("post.id", "direct_post.id", F.lit(""))
+    state = resume.resume_state(records.filter("false"))
+    for number in range(4):
+        batch = records.filter(F.pmod(F.xxhash64(key), F.lit(4)) == number)
+        state = stage(resume.merged_state(state, batch), "state")
+    return state
+
+
+def _cut_payload(spark, folder) -> tuple[resumable.Folder, DataFrame]:
+    """A payload folder whose run ended at the cutoff, and all records."""
+    records = _written(spark, folder)
+    out = resumable.Folder(spark, stage_path(spark, "payload"), "chat")
+    resumable.write(out, _before_cutoff(records), 500, 1, resumable.gate(out))
+    return out, records
+
+
+@query("resume_payload")
+def resume_payload(spark, folder):
+    """What the parts hold after a run that was cut and one that went on from its manifest."""
+    out, records = _cut_payload(spark, folder)
+    start = resumable.gate(out)
+    resumable.write(out, stage(resume.remaining(records, start.written), "left"), 500, 1, start)
+    return _flat(resumable.read_records(out))
+
+
+@query("resume_gate")
+def resume_gate(spark, folder):
+    """Records a further run writes: on a payload with its manifest, without it, and on none."""
+    out, records = _cut_payload(spark, folder)
+    counted = None
+    for case in ("with manifest", "no manifest", "no payload"):
+        if case == "no manifest":
+            out.delete(resumable.MANIFEST)
+        if case == "no payload":
+            out = resumable.Folder(spark, stage_path(spark, "payload"), "chat")
+        start = resumable.gate(out)
+        left = resume.remaining(records, start.written)
+        found = left.groupBy("type").agg(F.count("*").alias("records")).select(
+            F.lit(case).alias("payload"), F.lit(start.resumed).alias("resumed"), "type", "records"
+        )
+        counted = found if counted is None else counted.unionByName(found)
+    return counted
+
+
 # --- after the import ----------------------------------------------------------------
 
 

@@ -7,7 +7,8 @@ SMALL = "/root/testdata/sf0.001"
 
 def test_every_sql_belongs_to_a_query():
     assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
-    assert set(QUERIES) == set(ORACLE)
+    # Sizes of parts hang on the text of every line; tests/test_payload.py has a model of the packing.
+    assert set(QUERIES) - set(ORACLE) == {"payload_parts"}
 
 
 def test_entry_lines(spark):

@@ -7,7 +7,8 @@ from helpers import make_workspace, post
 from chatloom.operators import attachments, postimport, render, resume
 from chatloom.plans import job
 from chatloom.plans.options import JobOptions
-from chatloom.sources import payload
+from chatloom.plans.staging import stage
+from chatloom.sources import payload, resumable
 from pyspark.sql import functions as F
 
 OPTS = JobOptions()
@@ -208,3 +209,90 @@ def test_keep_first_import(spark):
     empty = df.filter("false")
     assert not postimport.verify_counts(df, empty, df, empty).first().healthy
     assert postimport.verify_counts(df, empty, df, df).first().healthy
+
+
+def stem_files(path):
+    return sorted(n for n in os.listdir(path) if n.endswith(".jsonl"))
+
+
+def all_lines(path):
+    lines = []
+    for name in stem_files(path):
+        with open(os.path.join(path, name), encoding="utf-8") as handle:
+            lines.append(handle.read())
+    return lines
+
+
+def long_posts(n, size=30_000):
+    return [post(i, "john-doe", f"{i} " + "x" * size, i, f"m{i}") for i in range(n)]
+
+
+def cut_run(folder, records, batch, start, keep):
+    """A run that gets as far as the first records in order."""
+    first = records.orderBy(*render.ORDER).limit(keep)
+    return resumable.write(folder, first, batch, 1, start)
+
+
+def test_a_cut_run_and_a_second_one_equal_a_full_run(spark, tmp_path):
+    ws = sample(spark, posts=long_posts(120))
+    opts = JobOptions(batch_size=5, max_chunk_mb=1)
+    records = stage(render.all_records(ws, opts))
+    total = records.count()
+    whole, cut = (resumable.Folder(spark, str(tmp_path / n), "chat") for n in ("whole", "cut"))
+    resumable.write(whole, records, 5, 1, resumable.gate(whole))
+    assert stem_files(whole.path) == [f"chat.part00{k}.jsonl" for k in (1, 2, 3, 4)]
+    cut_run(cut, records, 5, resumable.gate(cut), 60)
+    # The process ends in the middle of a line of the last part.
+    with open(os.path.join(cut.path, stem_files(cut.path)[-1]), "a", encoding="utf-8") as handle:
+        handle.write('{"post": {"attachments": [], "cha')
+    os.remove(os.path.join(cut.path, f".{stem_files(cut.path)[-1]}.crc"))
+    start = resumable.gate(cut)
+    assert start.resumed and start.last == 2 and start.written.count() == 60
+    left = resume.remaining(records, start.written)
+    assert left.count() == total - 60
+    manifest = resumable.write(cut, left, 5, 1, start)
+    assert all_lines(cut.path) == all_lines(whole.path)
+    sizes = {r.part: (r.bytes, r.records) for r in manifest.collect()}
+    for number, text in enumerate(all_lines(cut.path), 1):
+        assert sizes[number] == (len(text), text.count("\n")) and len(text) <= 1 << 20
+    again = resumable.gate(cut)
+    assert resume.remaining(records, again.written).count() == 0
+    back = resumable.read_records(cut).select("type", *render.RECORD_TYPES)
+    assert back.exceptAll(records.select("type", *render.RECORD_TYPES)).count() == 0 and back.count() == total
+
+
+def test_what_a_run_without_a_manifest_left_is_replaced(spark, tmp_path):
+    records = stage(render.all_records(sample(spark), OPTS))
+    folder = resumable.Folder(spark, str(tmp_path / "out"), "chat")
+    os.makedirs(folder.path)
+    for number in (1, 7):
+        (tmp_path / "out" / f"chat.part00{number}.jsonl").write_text('{"type": "version", "version": 1}\n')
+    start = resumable.gate(folder)
+    assert not start.resumed and start.written is None
+    resumable.write(folder, records, 17, 1, start)
+    assert stem_files(folder.path) == ["chat.part001.jsonl"]
+    # A manifest without any record: start afresh as well.
+    (tmp_path / "out" / "chat.part001.jsonl").write_text('{"type": "ver')
+    os.remove(tmp_path / "out" / ".chat.part001.jsonl.crc")
+    assert not resumable.gate(folder).resumed
+
+
+def test_job_goes_on_with_its_parts(spark, tmp_path):
+    out, opts = str(tmp_path / "out"), JobOptions(batch_size=3, max_chunk_mb=1)
+    first = job.run(sample(spark, posts=long_posts(2, 10)), opts, out).first()
+    summary = job.run(sample(spark, posts=long_posts(40)), opts, out, source=spark.read.text(__file__)).first()
+    assert (first.records, summary.records, summary.bytes) == (12, 38, os.path.getsize(__file__))
+    lines = [json.loads(x) for text in all_lines(out) for x in text.splitlines()]
+    assert sum(x["type"] == "post" for x in lines) == 40 and len(stem_files(out)) == 2
+
+
+def test_state_kept_up_per_batch(spark):
+    rng = random.Random(2)
+    posts = [post(i, "john-doe", str(i), rng.randint(0, 6), f"p{i}", c=rng.randint(0, 1)) for i in range(60)]
+    records = stage(render.all_records(sample(spark, posts=posts), OPTS))
+    batches = [records.filter(F.pmod(F.xxhash64("post.id"), F.lit(3)) == k) for k in range(3)]
+    state = stage(resume.resume_state(records.filter("false")))
+    done = records.filter("false")
+    for batch in batches:
+        state, done = stage(resume.merged_state(state, batch)), done.unionByName(batch)
+        assert set(state.collect()) == set(resume.resume_state(done).collect())
