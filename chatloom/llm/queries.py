@@ -42,6 +42,9 @@ def op1_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
         F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + (s["end"] - s["start"])).alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        F.octet_length("kept").cast("long").alias("n_kept"),
+        # Bytes go, so that a character may be cut; what is left of it shows as a mark.
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("text"),
     )
 
 
