@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 
 from chatloom.functions.hashing import DEFAULT_SALT
 from chatloom.functions.text import stable_alias
-from chatloom.plans.staging import stage
+from chatloom.plans.staging import stage, stage_counted
 
 _WORD = r"(?U)\w+"
 _GAP = r"(?U)\W+"
+#: Width of the entry that every text has.
+ANYWHERE = -1
 
 
 def _words(text: Column) -> Column:
@@ -64,11 +66,14 @@ def _windows(words: Column, width: int) -> Column:
 
 
 def _runs(text: Column, widths: Sequence[int]) -> Column:
-    """Distinct (width, key) of every word run whose width some name has."""
+    """Distinct (width, key) of every word run whose width some entry has."""
     words = _words(text)
 
     def tagged(width: int) -> Column:
-        keys = _gaps(text) if width == 0 else words if width == 1 else _windows(words, width)
+        if width == ANYWHERE:
+            keys = F.array(F.lit(""))
+        else:
+            keys = _gaps(text) if width == 0 else words if width == 1 else _windows(words, width)
         return F.transform(
             F.array_distinct(keys), lambda k: F.struct(F.lit(width).alias("width"), k.alias("key"))
         )
@@ -76,17 +81,23 @@ def _runs(text: Column, widths: Sequence[int]) -> Column:
     return F.concat(*[tagged(width) for width in widths])
 
 
-def _candidates(texts: DataFrame, key: str, column: str, names: DataFrame, widths: Sequence[int]) -> DataFrame:
-    """(key, cands): the names whose word run occurs in the text, in user order."""
+def _candidates(texts: DataFrame, key: str, column: str, entries: DataFrame, widths: Sequence[int]) -> DataFrame:
+    """(key, cands): the names that can match in the text or in what is put there, in user order.
+
+    Without a name in the text itself nothing is put there, so that such a text has none.
+    """
     probes = texts.select(key, F.explode(_runs(F.col(column), widths)).alias("run")).select(
-        key, F.col("run.width").alias("width"), F.col("run.key").alias("key_run")
-    )
-    hits = probes.join(
-        names.select(F.col("key").alias("key_run"), "width", "rank", "pattern", "alias"),
-        ["key_run", "width"],
+        key, F.col("run.width").alias("width"), F.col("run.key").alias("key")
     )
-    return hits.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct("rank", "pattern", "alias"))).alias("cands")
+    # The text's key may bear the name of an entry's column.
+    found = entries.select(F.col("key").alias("_e_key"), F.col("width").alias("_e_width"), "name", "own")
+    probes = probes.toDF("_row", "_width", "_key")
+    hits = probes.join(found, (F.col("_key") == F.col("_e_key")) & (F.col("_width") == F.col("_e_width")))
+    return (
+        hits.groupBy("_row")
+        .agg(F.array_sort(F.collect_set("name")).alias("cands"), F.bool_or("own").alias("_own"))
+        .filter("_own")
+        .select(F.col("_row").alias(key), "cands")
     )
 
 
@@ -96,23 +107,69 @@ def _fold(text: Column, cands: Column) -> Column:
     )
 
 
-def _fits_alias(words: Column) -> Column:
-    """Whether a name with these words could match inside or across an inserted alias.
+def _entries(names: DataFrame) -> DataFrame:
+    """(key, width, name, own): the word runs by which a name is looked for.
 
-    An alias is the word "user" and a word of twelve hex digits. A name has to contain
-    one of them, with the other beside it unless the name ends there. (The dash between
-    them can be a name too; it has no words and is told by its key.)
+    ``own`` entries hold all words of a name. A name can also match where some of its words
+    come from an inserted alias, the word "user" and a word of twelve hex digits: its other
+    words still stand in the text, side by side up to where an alias begins or ends. (A name
+    without word characters at its ends glues the alias to its neighbours: "x" and "user" to
+    "xuser".) Such a name is looked for by the first of these stretches. One that has none is
+    looked for wherever the names are whose aliases it holds, or, as it holds just "user"
+    or the dash between the two words, in every text. The superset costs a test, no more.
     """
-    def is_hex(word: Column) -> Column:
-        return word.rlike("^[0-9a-f]{12}$")
-
-    def fits(word: Column, i: Column) -> Column:
-        after, before = F.get(words, i + 1), F.get(words, i - 1)
-        return ((word == "user") & (after.isNull() | is_hex(after))) | (
-            is_hex(word) & (before.isNull() | (before == "user"))
+    # Hex words that are the alias of some name; any others are plain words.
+    hexes = names.select(
+        "rank", F.explode(F.regexp_extract_all("key", F.lit("(?:^| )([0-9a-f]{12})"), F.lit(1))).alias("hex")
+    )
+    owners = names.select(F.substring("alias", 6, 12).alias("hex"), F.col("rank").alias("owner"))
+    held, holding = stage_counted(hexes.join(owners, "hex").distinct(), "aliases-in-names", F.lit(True))
+    none = F.array().cast("array<string>")
+    joined, known = names.withColumn("hexes", none), none
+    if holding:
+        real = held.groupBy("rank").agg(F.collect_set("hex").alias("hexes"))
+        joined, known = names.join(real, "rank", "left"), F.coalesce("hexes", none)
+
+    def taken_apart(word: Column) -> Column:
+        start, rest = F.substring(word, 1, 12), F.substring(word, 13, 1 << 20)
+        by_hex = F.concat(F.lit("|"), F.when(rest != "", F.concat(F.lit(" "), rest)).otherwise(""))
+        cut = F.regexp_replace(word, "user$", "")
+        by_user = F.concat(F.when(cut != "", F.concat(cut, F.lit(" "))).otherwise(""), F.lit("|"))
+        return F.when(F.array_contains(known, start), by_hex).when(word.endswith("user"), by_user).otherwise(word)
+
+    parts = F.split(F.array_join(F.transform("words", taken_apart), " "), "[|]")
+    stretches = F.filter(F.transform(parts, lambda part: F.trim(part)), lambda part: part != "")
+    name = F.struct("rank", "pattern", "alias").alias("name")
+    pieces = joined.select(
+        "rank", "key", "width", name, F.size(parts).alias("parts"), F.get(stretches, 0).alias("stretch"), known.alias("hexes")
+    )
+    own = pieces.select("rank", "key", "width", "name", F.lit(True).alias("own"))
+    fitting = pieces.filter((F.col("parts") > 1) | (F.col("key") == "-"))
+    by_stretch = fitting.filter("stretch is not null and width > 0").select(
+        "rank", F.col("stretch").alias("key"), (F.size(F.split("stretch", " "))).alias("width"), "name", F.lit(False).alias("own")
+    )
+    bare = fitting.filter("stretch is null or width = 0")
+    anywhere = bare.filter(F.size("hexes") == 0).select(
+        "rank", F.lit("").alias("key"), F.lit(ANYWHERE).alias("width"), "name", F.lit(False).alias("own")
+    )
+    entries = own.unionByName(by_stretch).unionByName(anywhere)
+    entries = stage(entries, "name-entries")
+    if not holding:
+        return entries
+    aliased = bare.filter(F.size("hexes") > 0)
+    # Names made of aliases only, and of aliases of such names: entries of their owners, until none is new.
+    links = stage(aliased.select("rank", "name").join(held.select("rank", "owner"), "rank"), "alias-names")
+    fresh = entries
+    while True:
+        onward = fresh.select(F.col("rank").alias("owner"), "key", "width").join(
+            links.select("rank", "owner", "name"), "owner"
         )
-
-    return F.exists(F.transform(words, fits), lambda found: found)
+        onward = onward.select("rank", "key", "width", "name", F.lit(False).alias("own")).distinct()
+        onward = onward.join(entries.select("rank", "key", "width"), ["rank", "key", "width"], "left_anti")
+        fresh, count = stage_counted(onward, "name-entries", F.lit(True))
+        if not count:
+            return entries
+        entries = stage(entries.unionByName(fresh.select(*entries.columns)), "name-entries")
 
 
 def redact_usernames(
@@ -120,68 +177,22 @@ def redact_usernames(
 ) -> DataFrame:
     """Rewrite ``column``; ``key`` must identify rows of ``df``, which is read twice.
 
-    The result equals applying every user's pattern in user order, one after another.
-    An inserted alias can hold a later name, though only one built like an alias itself.
-    Workspaces with such names take one name per round and look again, so names inside
-    inserted aliases are found too.
+    The result equals applying every user's pattern in user order, one after another. An
+    inserted alias can hold a later name, or part of one; which names that can be is
+    worked out once, over the names alone, and they join the candidates of the texts.
     """
     names = stage(_name_table(users, salt), "names")
-    shape = names.agg(
-        F.sort_array(F.collect_set("width")).alias("widths"),
-        F.coalesce(F.bool_or(_fits_alias(F.col("words")) | (F.col("key") == "-")), F.lit(False)).alias("nested"),
-    ).first()
+    entries = _entries(names)
     # Distinct word counts of names: a handful of small integers.
-    widths = list(shape.widths)
+    widths = [row.width for row in entries.select("width").distinct().orderBy("width").collect()]
     if not widths:
         return df
-    if not shape.nested:
-        cands = _candidates(df, key, column, names, widths)
-        return (
-            df.join(cands, key, "left")
-            .withColumn(
-                column,
-                F.when(F.col("cands").isNull(), F.col(column)).otherwise(_fold(F.col(column), F.col("cands"))),
-            )
-            .drop("cands")
-        )
-    return _redact_stepwise(df, key, column, names, widths)
-
-
-def _redact_stepwise(
-    df: DataFrame, key: str, column: str, names: DataFrame, widths: Sequence[int]
-) -> DataFrame:
-    live = stage(
-        df.select(key, F.col(column).alias("text"), F.lit(-1).cast("bigint").alias("last")), "redact"
-    )
-    done: DataFrame | None = None
-    while True:
-        cands = _candidates(live, key, "text", names, widths)
-        # The first later name that really matches decides this round.
-        matching = F.filter(
-            "cands", lambda c: (c["rank"] > F.col("last")) & F.rlike("text", c["pattern"])
-        )
-        step = live.join(cands, key, "left").withColumn("pick", F.try_element_at(matching, F.lit(1)))
-        step = stage(
-            step.select(
-                key,
-                F.when(
-                    F.col("pick").isNotNull(),
-                    F.regexp_replace("text", F.col("pick.pattern"), F.col("pick.alias")),
-                )
-                .otherwise(F.col("text"))
-                .alias("text"),
-                F.col("pick.rank").alias("last"),
-            ),
-            "redact",
-        )
-        rested = step.filter(F.col("last").isNull()).select(key, "text")
-        done = rested if done is None else done.unionByName(rested)
-        live = step.filter(F.col("last").isNotNull())
-        if live.isEmpty():
-            break
-    columns = df.columns
+    cands = _candidates(df, key, column, entries, widths)
     return (
-        df.drop(column)
-        .join(done.withColumnRenamed("text", column), key)
-        .select(*columns)
+        df.join(cands, key, "left")
+        .withColumn(
+            column,
+            F.when(F.col("cands").isNull(), F.col(column)).otherwise(_fold(F.col(column), F.col("cands"))),
+        )
+        .drop("cands")
     )

@@ -375,6 +375,17 @@ def renamed(source: str) -> str:
 
 
 add("redact_usernames", renamed("SELECT doc_id, message FROM messages"))
+# The added users come last and after one another.
+_FIRST = "(SELECT arg_min(alias, rank) FROM names)"
+_SELF = alias("'user'")
+add(
+    "redact_usernames_nested",
+    f"""SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(message,
+            '\\b' || {_FIRST} || '\\b', {alias(_FIRST)}, 'g'),
+            '(?i)\\buser\\b', {_SELF}, 'g'),
+            '\\b' || {_SELF}[6:] || '\\b', {alias(f"{_SELF}[6:]")}, 'g') AS message
+        FROM ({renamed("SELECT doc_id, message FROM messages")})""",
+)
 add(
     "anonymize_text",
     f"""{renamed(f"SELECT doc_id, {redacted('message')} AS message FROM messages WHERE NOT {BLOCK}")}

@@ -560,6 +560,20 @@ def redact_usernames(spark, folder):
     )
 
 
+@query("redact_usernames_nested")
+def redact_usernames_nested(spark, folder):
+    """Users called like the alias of the first one, like the word of all aliases, and like its own hash."""
+    names = name_list(spark, folder)
+    first = names.agg(F.min_by("username", "u_idx").alias("username"))
+    user = tx.stable_alias(F.lit("user"))
+    more = F.array(tx.stable_alias(F.col("username")), F.lit("user"), F.substring(user, 6, 12))
+    added = first.select(F.posexplode(more).alias("at", "username")).select(
+        (F.col("at") + 1_000_000).cast("bigint").alias("u_idx"), "username"
+    )
+    everyone = names.select(F.col("u_idx").cast("bigint").alias("u_idx"), "username").unionByName(added)
+    return usernames.redact_usernames(messages(spark, folder), "doc_id", "message", everyone, DEFAULT_SALT)
+
+
 @query("anonymize_text")
 def anonymize_text(spark, folder):
     return render.anonymize(messages(spark, folder), "doc_id", "message", name_list(spark, folder), ANON)

@@ -59,3 +59,20 @@ def test_dash_inside_aliases(spark):
     names = ["john", "-", "ann"]
     texts = ["hello john bye", "a-b", "ann - ann", "john-ann"]
     assert run(spark, texts, names) == [model(t, names) for t in texts]
+
+
+def test_aliases_glued_to_words_and_held_by_names(spark):
+    bob, dash = keyed("bob"), keyed("#")
+    names = ["bob", "#", "xuser", f"{dash}y", f"user {bob}", f"{bob} z", "deadbeef0123 user", bob, keyed(bob)[:12]]
+    names += [f"user-{keyed(f'user {bob}')}", "a user b", "user"]
+    texts = ["x#y bob", "x#y", "bob z", "deadbeef0123 bob", "a bob b", f"bob {bob}", "user", f"user-{bob}", "x#bob"]
+    assert run(spark, texts, names) == [model(t, names) for t in texts]
+
+
+def test_random_names_built_like_aliases(spark):
+    rng = random.Random(11)
+    atoms = ["ann", "bob", "user", "-", "#", "x", keyed("ann"), keyed("bob"), keyed("user"), "abcdefabcdef"]
+    names = ["ann", "bob"] + ["".join(rng.choice(atoms) + rng.choice(["", " ", "-"]) for _ in range(rng.randint(1, 3))) for _ in range(40)]
+    rng.shuffle(names)
+    texts = ["".join(rng.choice(atoms) + rng.choice([" ", "-", "", ", "]) for _ in range(rng.randint(0, 9))) for _ in range(250)]
+    assert run(spark, texts, names) == [model(t, names) for t in texts]
