@@ -289,6 +289,20 @@ add(
         CASE WHEN c_acctbal >= 0 THEN t.name ELSE '' END AS teams
     FROM people p JOIN graph_teams t ON p.n_regionkey = t.r_regionkey WHERE c_acctbal > -900""",
 )
+add(
+    "entity_posts",
+    """SELECT t_idx, row_number() OVER (ORDER BY t_idx, c_idx, p_idx) - 1 AS place,
+        team_name, channel_name, username, message, timestamp_ms, id, parent_id,
+        array_to_string(list_transform(attachments, lambda a: a.path), ',') AS files FROM posts""",
+)
+add(
+    "entity_summary",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS entity, count(*) AS found FROM {name}"
+        for name in ("users", "user_teams", "teams", "team_people", "channels", "channel_people", "direct_channels", "direct_posts")
+    )
+    + " UNION ALL SELECT 'dangling', 0",
+)
 add("graph_teams", "SELECT group_id, name, display_name, description FROM graph_teams")
 add(
     "graph_channels",

@@ -17,7 +17,7 @@ from chatloom.plans import job
 from chatloom.plans.options import JobOptions
 from chatloom.plans.staging import stage, stage_path
 from chatloom.plans.workspace import Workspace
-from chatloom.sources import api_pages, documents, payload, relational, resumable
+from chatloom.sources import api_pages, documents, entities, payload, relational, resumable
 from chatloom.streaming import monitor as live
 
 PLAIN = JobOptions()
@@ -352,6 +352,32 @@ def flatten_channels(spark, folder):
     return ws.channels
 
 
+@query("entity_posts")
+def entity_posts(spark, folder):
+    """Posts of the workspace written as one folder per entity and read back, with their place."""
+    root = stage_path(spark, "entities")
+    entities.write_entities(ws_of(spark, folder), root)
+    ws = entities.workspace(entities.read_entities(spark, root))
+    return ws.posts.select(
+        "t_idx", F.col("p_idx").alias("place"), "team_name", "channel_name", "username", "message", "timestamp_ms",
+        "id", "parent_id", F.array_join(F.transform("attachments", lambda a: a["path"]), ",").alias("files"),
+    )
+
+
+@query("entity_summary")
+def entity_summary(spark, folder):
+    """Counts of a workspace read from entity files, its people included."""
+    root = stage_path(spark, "entities")
+    entities.write_entities(ws_of(spark, folder), root)
+    found = entities.read_entities(spark, root)
+    ws = entities.workspace(found)
+    tables = {name: getattr(ws, name) for name in ("users", "user_teams", "teams", "team_people", "channels", "channel_people", "direct_channels", "direct_posts")}
+    counted = found.posts.limit(0).select(F.lit("").alias("entity"), F.lit(0).cast("bigint").alias("found"))
+    for name, table in {**tables, "dangling": entities.dangling(found)}.items():
+        counted = counted.unionByName(table.agg(F.count("*").alias("found")).select(F.lit(name).alias("entity"), "found"))
+    return counted
+
+
 @query("graph_users")
 def graph_users(spark, folder):
     pages = stage(landed_pages(spark, folder), "pages")
