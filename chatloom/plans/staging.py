@@ -11,6 +11,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+_local_dirs: dict[str, str] = {}
+
+
 def stage_dir(spark: SparkSession) -> str:
     """Shared folder for staged tables, from ``spark.checkpoint.dir``.
 
@@ -21,13 +24,30 @@ def stage_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="chatloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    # A setting of the core can't be changed in a running session.
+    app = spark.sparkContext.applicationId
+    if app not in _local_dirs:
+        _local_dirs[app] = tempfile.mkdtemp(prefix="chatloom-")
+    return _local_dirs[app]
+
+
+def _own_dir(spark: SparkSession) -> str:
+    """Folder of this application's staged tables."""
+    return f"{stage_dir(spark)}/chatloom/{spark.sparkContext.applicationId}"
 
 
 def stage_path(spark: SparkSession, label: str) -> str:
-    return f"{stage_dir(spark)}/chatloom/{label}-{uuid.uuid4().hex}"
+    return f"{_own_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_staged(spark: SparkSession) -> bool:
+    """Delete all tables this application has staged; whether there were any.
+
+    Call it when a job's results are written: DataFrames that read staged tables can't be
+    used afterwards. Tables of other applications in the same folder stay.
+    """
+    at = spark._jvm.org.apache.hadoop.fs.Path(_own_dir(spark))
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
