@@ -10,7 +10,6 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-
 _local_dirs: dict[str, str] = {}
 
 
