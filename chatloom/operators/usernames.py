@@ -67,9 +67,8 @@ def _windows(words: Column, width: int) -> Column:
 
 def _runs(text: Column, widths: Sequence[int]) -> Column:
     """Distinct (width, key) of every word run whose width some entry has."""
-    words = _words(text)
 
-    def tagged(width: int) -> Column:
+    def tagged(words: Column, width: int) -> Column:
         if width == ANYWHERE:
             keys = F.array(F.lit(""))
         else:
@@ -78,7 +77,10 @@ def _runs(text: Column, widths: Sequence[int]) -> Column:
             F.array_distinct(keys), lambda k: F.struct(F.lit(width).alias("width"), k.alias("key"))
         )
 
-    return F.concat(*[tagged(width) for width in widths])
+    # An array of one, so that a text is taken apart once and not once per run.
+    return F.transform(
+        F.array(_words(text)), lambda words: F.concat(*[tagged(words, width) for width in widths])
+    )[0]
 
 
 def _candidates(texts: DataFrame, key: str, column: str, entries: DataFrame, widths: Sequence[int]) -> DataFrame:

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 from helpers import keyed
 
@@ -76,3 +77,12 @@ def test_random_names_built_like_aliases(spark):
     rng.shuffle(names)
     texts = ["".join(rng.choice(atoms) + rng.choice([" ", "-", "", ", "]) for _ in range(rng.randint(0, 9))) for _ in range(250)]
     assert run(spark, texts, names) == [model(t, names) for t in texts]
+
+
+def test_long_text_and_names_of_several_words(spark):
+    # A text that was taken apart again for each of its word runs took minutes here.
+    names = ["ann lee", "user", "o neil x"]
+    text = " ".join(["ann", "lee,", "o", "neil", "x"] * 6000)
+    began = time.monotonic()
+    assert run(spark, [text], names) == [model(text, names)]
+    assert time.monotonic() - began < 60
