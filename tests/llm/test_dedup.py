@@ -56,6 +56,15 @@ def test_suffixes_random(make_docs, monkeypatch):
     assert spans_of(suffix_dedup.remove_repeats(make_docs(rows), shape=shape)) == want
 
 
+def test_suffixes_of_one_id_with_equal_short_hashes(spark, make_docs):
+    repeated, other = ("".join(chr(97 + i * k % 26) + str(i) for i in range(200)) for k in (3, 7))
+    number = F.lpad(F.col("id").cast("string"), 6, "0")
+    a, b = (spark.range(300_000).select(F.concat(number, F.lit(t)).alias(n)) for t, n in ((repeated, "a"), (other, "b")))
+    pair = a.join(b, F.hash("a") == F.hash("b")).first()
+    rows = [(1, pair.a), (1, pair.b), (2, "z" + repeated)]
+    assert spans_of(suffix_dedup.remove_repeats(make_docs(rows))) == expected_spans(rows, 400)
+
+
 def test_suffixes_empty(none):
     assert suffix_dedup.remove_repeats(none).count() == 0
 
