@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Set
 from dataclasses import dataclass
 from html import unescape
 
@@ -49,6 +49,8 @@ SKIP_NAMES = frozenset(
 )
 _IN_ARTICLE = frozenset("ad ads advert adverts advertisement adsense adslot comments disqus newsletter".split())
 MAIN_ELEMENTS = ("main", "article")
+#: Elements that name what comes after them.
+LABELS = ("h1", "h2", "h3", "h4", "h5", "h6", "dt", "th", "caption", "figcaption", "legend", "summary")
 
 # A quoted value may hold a >. Tags without an end that is near are cut at the first >.
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
@@ -71,6 +73,7 @@ class Block:
     linked: int
     named: bool = False  # only a name says that it is no article text
     at: int = 0
+    label: bool = False  # names what comes after it
 
 
 def _hash(text: str) -> int:
@@ -120,7 +123,8 @@ class _Reader:
         text = _SPACE.sub(" ", unescape("".join(self.parts))).strip()
         if text:
             _, path, skipped, named, main = self.open[-1] if self.open else ("", 0, False, False, 0)
-            block = Block(path, text, skipped, main, self.linked, named, len(self.tokens))
+            label = any(self.places[name] for name in LABELS)
+            block = Block(path, text, skipped, main, self.linked, named, len(self.tokens), label)
             self.blocks.append(block)
             if self.wanted:
                 self.tokens.append(text_token(block))
@@ -296,7 +300,7 @@ def template_classes(
     least_pages: int = 4,
     least_tokens: int = 3,
 ) -> DataFrame:
-    """(host, class, token): the tokens of each host's valid equivalence classes.
+    """(host, class, token, common): the tokens of each host's valid equivalence classes.
 
     A token's occurrence vector has its count in each page of the host. Tokens with equal
     vectors are a class; vectors are told by their support and a sum of hashes of (page,
@@ -305,7 +309,8 @@ def template_classes(
     each, or from one token in ``share`` of the pages. A host may have several templates: their
     classes have different supports. A class is valid if its tokens have the same order in
     all its pages, and if it lies in one gap of each class around it in all of them; both
-    are worked out page by page. Pages with one story count once.
+    are worked out page by page. Pages with one story count once. ``common`` tells tokens in
+    ``share`` of the pages.
     """
     parsed = _page_tokens(pages, url_col, html_col)
     different = stage(
@@ -325,8 +330,9 @@ def template_classes(
     large = large.join(sizes, "host").where(
         (F.col("size") >= least_tokens) | (F.col("support") >= share * F.col("pages"))
     )
-    classed = stage(even.join(large.select("host", "class"), ["host", "class"]).select("host", "class", "token"), "classes")
-    placed = each.join(classed, ["host", "token"]).select("host", "story", "class", "token", "first")
+    large = large.select("host", "class", (F.col("support") >= share * F.col("pages")).alias("common"))
+    classed = stage(even.join(large, ["host", "class"]).select("host", "class", "token", "common"), "classes")
+    placed = each.join(classed.drop("common"), ["host", "token"]).select("host", "story", "class", "token", "first")
     by_page = stage(
         placed.groupBy("host", "story").agg(F.sort_array(F.collect_list(F.struct("first", "class", "token"))).alias("at")),
         "placed",
@@ -354,8 +360,11 @@ def template_classes(
 
 
 def templates(pages: DataFrame, **settings) -> DataFrame:
-    """(host, tokens): all tokens of each host's templates."""
-    return template_classes(pages, **settings).groupBy("host").agg(F.collect_list("token").alias("tokens"))
+    """(host, common, other): all tokens of each host's templates."""
+    return template_classes(pages, **settings).groupBy("host").agg(
+        F.collect_list(F.when(F.col("common"), F.col("token"))).alias("common"),
+        F.collect_list(F.when(~F.col("common"), F.col("token"))).alias("other"),
+    )
 
 
 @dataclass
@@ -366,11 +375,7 @@ class Slot:
     blocks: list[Block]
 
 
-def page_slots(html: str | None, template: set[int]) -> list[Slot]:
-    """The slots of a page with text in them, in order."""
-    if not html:
-        return []
-    page = _Reader(html).read()
+def _slots(page: _Reader, template: set[int]) -> list[Slot]:
     by_place = {b.at: b for b in page.blocks}
     slots: list[Slot] = []
     before, fresh = 0, True
@@ -385,26 +390,46 @@ def page_slots(html: str | None, template: set[int]) -> list[Slot]:
     return slots
 
 
+def page_slots(html: str | None, template: set[int]) -> list[Slot]:
+    """The slots of a page with text in them, in order."""
+    return _slots(_Reader(html).read(), template) if html else []
+
+
 def _readable(blocks: list[Block]) -> list[Block]:
     return [b for b in blocks if not b.skipped and not b.named and 2 * b.linked < len(b.text)]
 
 
-def main_text(html: str | None, template: set[int]) -> str:
+def _labelled(blocks: list[Block], filled: list[Block]) -> list[Block]:
+    """The blocks of slots, and the template's labels that stand before one of them."""
+    own = {b.at for b in filled}
+    last = max(own, default=-1)
+    return [b for b in blocks if b.at in own or (b.label and b.at < last)]
+
+
+def main_text(html: str | None, template: set[int], common: Set[int] = frozenset()) -> str:
     """The article of a page; '' if none.
 
-    A marked article (else a main element) is the article, whole but for menus, adverts and
-    the like inside it; no template takes text from it. Without such a mark it is what the
-    slots of the host's template hold, less what is mostly links, or called an advert or
-    the like. Where a template would take more than half of that text, as with pages that are
-    nearly the same, and on hosts without a template, it is all text that is none of those.
+    The article is what the slots of the host's template hold, less menus, adverts and the
+    like. A marked article (else a main element) tells which slots: there nothing else goes,
+    only tokens in most of the host's pages (``common``) are template, and its headings and
+    other labels stay where text of the page follows. Without such a mark, blocks that are
+    mostly links, or called an advert or the like, go too. Where a template would take more
+    than half of that text, as with pages that are nearly the same, and on hosts without a
+    template, it is all text that is none of those.
     """
-    blocks = page_blocks(html)
-    most = max((b.main for b in blocks), default=0)
+    if not html:
+        return ""
+    page = _Reader(html).read()
+    most = max((b.main for b in page.blocks), default=0)
     if most:
-        return "\n\n".join(b.text for b in blocks if b.main == most and not b.skipped and not b.named)
-    chosen = _readable(blocks)
-    if template:
-        filled = _readable([b for slot in page_slots(html, template) for b in slot.blocks])
+        chosen = [b for b in page.blocks if b.main == most and not b.skipped and not b.named]
+    else:
+        chosen = _readable(page.blocks)
+    if known := common if most else template:
+        able = {b.at for b in chosen}
+        filled = [b for slot in _slots(page, known) for b in slot.blocks if b.at in able]
+        if most:
+            filled = _labelled(chosen, filled)
         if 2 * sum(len(b.text) for b in filled) >= sum(len(b.text) for b in chosen):
             chosen = filled
     return "\n\n".join(b.text for b in chosen)
@@ -427,19 +452,19 @@ def extract_main(
     one row per host. Other columns are not read.
     """
     found = templates(pages, url_col=url_col, html_col=html_col, share=share, least_pages=least_pages)
-    template = found.select(F.col("host").alias("_host"), F.col("tokens").alias("_tokens"))
+    template = found.select(F.col("host").alias("_host"), "common", "other")
     joined = pages.select(
         F.col(id_col), F.col(url_col), F.col(html_col), host_of(F.col(url_col)).alias("_h")
     ).join(stage(template, "templates"), F.col("_h") == F.col("_host"), "left")
 
     @F.pandas_udf("string")
-    def extract(hosts: pd.Series, htmls: pd.Series, tokens: pd.Series) -> pd.Series:
-        known: dict[str, set[int]] = {}
+    def extract(hosts: pd.Series, htmls: pd.Series, commons: pd.Series, others: pd.Series) -> pd.Series:
+        known: dict[str, tuple[set[int], set[int]]] = {}
         out = []
-        for host, html, t in zip(hosts, htmls, tokens, strict=True):
+        for host, html, common, other in zip(hosts, htmls, commons, others, strict=True):
             if host not in known:
-                known[host] = set() if t is None else set(t)
-            out.append(main_text(html, known[host]))
+                known[host] = (set(), set()) if common is None else ({*common, *other}, set(common))
+            out.append(main_text(html, *known[host]))
         return pd.Series(out, dtype=object)
 
-    return joined.select(id_col, url_col, extract("_h", html_col, "_tokens").alias("text"))
+    return joined.select(id_col, url_col, extract("_h", html_col, "common", "other").alias("text"))

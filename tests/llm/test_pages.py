@@ -116,6 +116,27 @@ def test_near_copies_do_not_vote_their_story_into_the_template(spark):
     assert all(text.count("Paragraph") == 5 and f"edit {i}" in text for i, text in got.items())
 
 
+def test_templates_decide_in_marked_articles(spark):
+    rng = random.Random(3)
+
+    def story(i):
+        words = [" ".join(f"{rng.choice('abcdef')}{rng.randint(0, 99)}" for _ in range(20)) for _ in range(2)]
+        # Four of twelve quote one release: text of theirs, as most pages of the host lack it.
+        quoted = "".join(f"<p>Release, part {k}.</p>" for k in range(3)) if i < 4 else ""
+        html = (
+            f"<body><article><p>Read this in our app</p><h1>Story {i}</h1><p>{words[0]}</p>{quoted}<h2>Details</h2>"
+            f"<p>{words[1]}</p><p>Write to our desk</p><h3>More</h3></article></body>"
+        )
+        quotes = [f"Release, part {k}." for k in range(3)] if i < 4 else []
+        return html, "\n\n".join([f"Story {i}", words[0], *quotes, "Details", words[1]])
+
+    pages = [story(i) for i in range(12)]
+    assert extracted(spark, [("http://n.org/", html) for html, _ in pages]) == dict(enumerate(t for _, t in pages))
+    # Alone on its host, a page has no template and stays whole.
+    alone = extracted(spark, [("http://o.org/", pages[0][0])])[0]
+    assert alone.startswith("Read this in our app\n\nStory 0") and alone.endswith("Write to our desk\n\nMore")
+
+
 BAD = {
     "open tags": '<a x="', "nested": "<div>x", "inline": "<b>", "ends": "</p>", "lists": "<li><ul><b>", "angles": "<",
     "quotes": "<a '\"x>", "comments": "<!-- ", "raw": "<title></titl", "entities": "&amp;&#x", "marks": "<!>",
