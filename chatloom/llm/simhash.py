@@ -22,7 +22,7 @@ _BLOCK = 1 << 16
 _SIGNED = 1 << 63
 
 
-def _bit_counts(hashes: list[int]) -> np.ndarray:
+def _bit_counts(hashes: list[int] | np.ndarray) -> np.ndarray:
     grid = np.array(hashes, dtype="<u8").view(np.uint8).reshape(-1, 8)
     return np.unpackbits(grid, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
 
@@ -49,10 +49,22 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
             for a, b in zip(first[at : at + _BLOCK], last[at : at + _BLOCK], strict=True)
         ]
         counts += _bit_counts(hashes)
-    bits = (2 * counts > len(first)).astype(np.uint8)
+    return _majority(counts, len(first))
+
+
+def _majority(counts: np.ndarray, total: int) -> int:
+    bits = (2 * counts > total).astype(np.uint8)
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """64-bit SimHash of 64-bit hashes as a signed long; 0 if there are none."""
+    counts = np.zeros(BITS, np.int64)
+    for at in range(0, len(hashes), _BLOCK):
+        counts += _bit_counts(hashes[at : at + _BLOCK])
+    return _signed(_majority(counts, len(hashes)))
+
+
 def fingerprints(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42
 ) -> DataFrame:
@@ -161,31 +173,51 @@ def plan_parts(sample: Sequence[int], rows: int, distance: int) -> list[Part]:
     return best[1]
 
 
-def near_pairs(prints: DataFrame, *, distance: int = 3, sample_rows: int = 2048) -> DataFrame:
-    """(a, b) with a < b: every pair of distinct values of ``fp`` within ``distance`` bits.
+def search_parts(prints: DataFrame, distance: int, sample_rows: int = 2048) -> list[Part]:
+    """The partitions of a search over ``fp``, planned on a bounded sample."""
+    spread = prints.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(sample_rows)
+    return plan_parts([r["fp"] for r in spread.collect()], prints.count(), distance)
 
-    Each partition's bits of a value are its bucket; the other side probes its own bucket
-    and those its threshold reaches. Verification is part of the join, so no unverified
-    pair becomes a row. ``sample_rows`` bounds the sample that the plan is estimated on.
-    """
-    spread = prints.orderBy(F.xxhash64("fp"), "fp").limit(sample_rows)
-    parts = plan_parts([r["fp"] for r in spread.collect()], prints.count(), distance)
-    def bucket(number: int, value: Column) -> Column:
-        return F.struct(F.lit(number).alias("part"), value.alias("bucket"))
+
+def _bucket(number: int, value: Column) -> Column:
+    return F.struct(F.lit(number).alias("part"), value.alias("bucket"))
+
+
+def indexed(prints: DataFrame, parts: list[Part]) -> DataFrame:
+    """Each row once a partition, with its own bucket there: (part, bucket) and its columns."""
+    index = F.array(*[_bucket(i, F.col("fp").bitwiseAND(F.lit(p.mask))) for i, p in enumerate(parts)])
+    return prints.select("*", F.explode(index).alias("_k")).select("_k.*", *prints.columns)
+
+
+def probing(prints: DataFrame, parts: list[Part]) -> DataFrame:
+    """Each row once for every bucket that its partitions' thresholds reach."""
 
     def probes(number: int, part: Part) -> Column:
         own = F.col("fp").bitwiseAND(F.lit(part.mask))
         flips = F.array(*[F.lit(x) for x in part.flips()])
-        return F.transform(flips, lambda flip: bucket(number, own.bitwiseXOR(flip)))
+        return F.transform(flips, lambda flip: _bucket(number, own.bitwiseXOR(flip)))
 
-    index = F.array(*[bucket(i, F.col("fp").bitwiseAND(F.lit(p.mask))) for i, p in enumerate(parts)])
     probe = F.flatten(F.array(*[probes(i, p) for i, p in enumerate(parts)]))
-    left = prints.select(F.col("fp").alias("a"), F.explode(probe).alias("k")).select("a", "k.*")
-    right = prints.select(F.col("fp").alias("b"), F.explode(index).alias("k")).select("b", "k.*")
-    close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
+    return prints.select("*", F.explode(probe).alias("_k")).select("_k.*", *prints.columns)
+
+
+def within(a: Column, b: Column, distance: int) -> Column:
+    return F.bit_count(a.bitwiseXOR(b)) <= distance
+
+
+def near_pairs(prints: DataFrame, *, distance: int = 3, sample_rows: int = 2048) -> DataFrame:
+    """(a, b) with a < b: every pair of distinct values of ``fp`` within ``distance`` bits.
+
+    Each partition's bits of a value are its bucket; the other side probes its own bucket
+    and those its threshold reaches. Verification is part of the join, so no unverified
+    pair becomes a row. ``sample_rows`` bounds the sample that the plan is estimated on.
+    """
+    parts = search_parts(prints, distance, sample_rows)
+    left = probing(prints.select("fp"), parts).withColumnRenamed("fp", "a")
+    right = indexed(prints.select("fp"), parts).withColumnRenamed("fp", "b")
     return (
         left.join(right, ["part", "bucket"])
-        .where((F.col("a") < F.col("b")) & close)
+        .where((F.col("a") < F.col("b")) & within(F.col("a"), F.col("b"), distance))
         .select("a", "b")
     )
 

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from chatloom.llm import shingle_dedup
+from chatloom.llm import shingle_dedup, simhash
 
 from llm_rows import AWKWARD
 from test_dedup import lower, roots_of
@@ -82,6 +82,26 @@ def test_chains_and_members_apart_from_the_first(make_docs, none, monkeypatch, u
     assert shingle_dedup.keep_one(none).count() == 0
 
 
+def test_fingerprints_link_all_within_three_bits(make_docs):
+    """Bands that no two sets share: what is linked, the fingerprints have found."""
+    rng = random.Random(8)
+    rows = []
+    for group in range(12):
+        words = [f"g{group}w{rng.randrange(4000)}" for _ in range(400)]
+        rows.append((group * 100, " ".join(words)))
+        rows += [(group * 100 + k, " ".join(edited(rng, words, 1 + k % 3))) for k in range(1, 12)]
+    values = {r[0]: shingle_dedup.shingle_set(r[1]) for r in rows}
+    prints = {k: simhash.fingerprint_of(v) & (2**64 - 1) for k, v in values.items()}
+    sets = {r[0]: shingles_of(r[1]) for r in rows}
+    close = [(i, j) for i in sets for j in sets if i < j and (prints[i] ^ prints[j]).bit_count() <= 3]
+    root = roots_of(sets, [(i, j) for i, j in close if similarity(sets[i], sets[j]) >= 0.8])
+    lows = {min(k for k in sets if root[k] == r) for r in root.values()}
+    assert 12 <= len(lows) < 100
+    none_shared = shingle_dedup.Bands(count=1, rows=5000)
+    got = shingle_dedup.keep_one(make_docs(rows), bands=none_shared, distance=3).collect()
+    assert sorted(r.doc_id for r in got) == sorted(lows)
+
+
 @pytest.mark.parametrize("alike", [0.8, 0.9])
 def test_bands_meet(alike):
     bands, rng = shingle_dedup.Bands(), np.random.default_rng(3)
