@@ -177,3 +177,25 @@ def test_file_to_payload(spark, tmp_path):
     docs = documents.read_documents(spark, f"file:{tmp_path}/in")
     summary = job.run(documents.load(docs), JobOptions(), f"file:{tmp_path}/out", input_bytes=640).first()
     assert summary.asDict() == {"bytes": 640, "teams": 1, "channels": 2, "users": 2, "posts": 2, "records": 10}
+
+
+def test_contract_parses_each_text_once(spark):
+    # Levels are staged: what is left to run reads parsed objects, whatever the number of contracts.
+    found = documents.contract_violations(docs_of(spark, {"users": [user(nickname=3)], "teams": [team([post()])]}))
+    assert "from_json" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r.path, r.field) for r in found.collect()] == [("0", "nickname")]
+
+
+def test_counts_with_and_without_the_short_way(spark):
+    right = [0, 7, "12", " 0012 ", "1_000", "+5", "-0", "3.0", "\t4", True, 2.0, 10**18, "9" * 18, "0" * 30]
+    negative = [-1, "-1", " -30 ", "-05", "-1_0", -2.0]
+    wrong = ["", " ", "x", "1 2", "--1", 1.5, [], {}]
+    above = ["9" * 19, "9" * 25]
+    values = right + negative + wrong + above
+    posts = [post(timestamp_ms=v) for v in values]
+    expected = {}
+    for at, value in enumerate(values[len(right):], len(right)):
+        kind = "must not be negative" if value in negative else "must be a whole number"
+        expected[f"0.posts.{at}"] = "must fit 64 bits" if at >= len(values) - len(above) else kind
+    found = problems(spark, {"direct_channels": [{"members": ["a"], "posts": posts}]})
+    assert {path: problem for _, path, field, problem in found if field == "timestamp_ms"} == expected
