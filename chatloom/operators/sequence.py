@@ -7,7 +7,7 @@ own, and add what came before from a table of chunk totals.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -90,19 +90,24 @@ def previous(
     return joined.select(*df.columns, *columns.values())
 
 
-def global_index(df: DataFrame, order: Sequence[str], out: str, *, label: str = "ordered") -> DataFrame:
+def global_index(
+    df: DataFrame,
+    order: Sequence[str],
+    out: str,
+    *,
+    label: str = "ordered",
+    shape: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> DataFrame:
     """0-based dense index over the whole table in the order of ``order``.
 
     One range shuffle; the ranges are staged so that the partition numbers they
     got stay fixed. The offset table has one row per partition, so it is small
-    by construction and safe to broadcast.
+    by construction and safe to broadcast. ``shape`` maps row by row behind the shuffle:
+    work done before it is done twice, as the ranges are sampled.
     """
     local_mask = (1 << 33) - 1
-    ranged = (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_mono", F.monotonically_increasing_id())
-    )
+    df = shape(df.repartitionByRange(*order).sortWithinPartitions(*order))
+    ranged = df.withColumn("_mono", F.monotonically_increasing_id())
     staged = stage(ranged, label).withColumn("_part", F.shiftright("_mono", 33))
     counts = staged.groupBy("_part").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

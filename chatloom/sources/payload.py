@@ -16,7 +16,8 @@ MEGABYTE = 1 << 20
 
 def write_payload(records: DataFrame, path: str) -> None:
     """One record per line; files sort by name in record order (range-partitioned sort)."""
-    json_lines(records).orderBy(*ORDER).select("line").write.text(path)
+    # Lines are made behind the sort, whose sampling would make them all a first time.
+    json_lines(records.orderBy(*ORDER)).select("line").write.text(path)
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -102,7 +103,7 @@ def with_parts(
 
     ``last`` is the number and the bytes of a part that the first of these lines go on with.
     """
-    lines = global_index(json_lines(records), ORDER, "n", label="payload").select(
+    lines = global_index(records, ORDER, "n", label="payload", shape=json_lines).select(
         "n", "line", F.floor(F.col("n") / batch_size).alias("batch")
     )
     batches = lines.groupBy("batch").agg(F.sum(F.octet_length("line") + 1).alias("bytes"))

@@ -457,28 +457,7 @@ def _flat(records: DataFrame) -> DataFrame:
 def payload_jsonl(spark, folder):
     path = stage_path(spark, "payload")
     payload.write_payload(_written(spark, folder), path)
-    lines = payload.read_lines(spark, path)
-
-    def field(*paths):
-        return F.coalesce(*[F.get_json_object("line", f"$.{p}") for p in paths])
-
-    members = F.from_json(F.get_json_object("line", "$.direct_channel.members"), "array<string>")
-    return lines.select(
-        "type",
-        F.coalesce(
-            field("team.name", "channel.name", "user.username", "post.id", "direct_post.id"),
-            join_list(members),
-        ).alias("name"),
-        F.coalesce(
-            field("channel.team"), F.concat_ws("/", field("post.team"), field("post.channel"))
-        ).alias("place"),
-        field("post.user", "direct_post.user").alias("author"),
-        field(
-            "post.message", "direct_post.message", "team.description", "channel.header", "user.nickname"
-        ).alias("content"),
-        field("post.create_at", "direct_post.create_at").cast("bigint").alias("create_at"),
-        field("post.root_id").alias("root_id"),
-    )
+    return _flat(resumable.typed(payload.read_lines(spark, path).select("line")))
 
 
 @query("payload_parts")
