@@ -118,13 +118,17 @@ def iso_to_epoch_ms(text: Column) -> Column:
 
 def redact(text: Column, names: Sequence[str] | None = None, rules: Sequence[Redaction] = REDACTIONS) -> Column:
     """Apply the redaction rules (all, or those named) in their fixed order."""
+    # Addresses need an @; most texts have none and skip the search. It is looked for in the text
+    # as it came: a test of what the rules before made of it would apply them once more.
+    may_have_address = text.contains("@")
     for rule in rules:
         if names is None or rule.name in names:
             # (?U): word boundaries, digits and spaces follow Unicode, not ASCII.
             guarded = f"(?U)(?={rule.first})(?:{rule.pattern})"
             cleaned = F.regexp_replace(text, guarded, F.lit(rule.marker))
-            # Addresses need an @; most texts have none and skip the search.
-            text = F.when(text.contains("@"), cleaned).otherwise(text) if rule.name == "email" else cleaned
+            text = F.when(may_have_address, cleaned).otherwise(text) if rule.name == "email" else cleaned
+            if "@" in rule.marker:
+                may_have_address = F.lit(True)
     return text
 
 

@@ -14,6 +14,7 @@ from chatloom.functions.hashing import hmac_hex
 from chatloom.functions.jsonline import json_text
 from chatloom.functions.text import (
     ANONYMOUS_DOMAIN,
+    BLOCKED_TEXT,
     has_block_word,
     member_key,
     non_empty,
@@ -152,11 +153,10 @@ def anonymize(
     if users is None:
         return df.withColumn(column, redact_or_scrub(F.col(column)))
     blocked = has_block_word(F.col(column))
+    # Text is kept once: either open to names or final.
     cleaned = df.withColumns(
-        {column: redact_or_scrub(F.col(column)), "_open": F.when(~blocked, redact(F.col(column)))}
+        {column: F.when(blocked, F.lit(BLOCKED_TEXT)), "_open": F.when(~blocked, redact(F.col(column)))}
     )
-    # Text is kept once: either open to names or final.
-    cleaned = cleaned.withColumn(column, F.when(F.col("_open").isNull(), F.col(column)))
     named = redact_usernames(stage(cleaned, "cleaned"), key, "_open", users, opts.salt)
     return named.withColumn(column, F.coalesce("_open", column)).select(*df.columns)
 

@@ -167,3 +167,13 @@ def test_files_keep_apart_by_address(spark):
     )
     got = {r.p: r.file_ids for r in attach(posts, ["p"], done, identity="url").collect()}
     assert got == {1: ["A"], 2: ["B"]}
+
+
+def test_each_rule_is_applied_once(spark):
+    """The address rule tests the text as it came, not what the rule before made of it."""
+    plan = spark.range(1).select(tx.redact(F.col("id").cast("string")).alias("t"))._jdf.queryExecution()
+    assert plan.analyzed().toString().count("[REDACTED CREDIT CARD]") == 2  # one a branch, of which one is taken
+    rules = [tx.Redaction("at", "at", "@"), *tx.REDACTIONS]
+    df = spark.createDataFrame([("x at y.z",), ("xaty.z",), ("a@b.c",)], "t string")
+    got = [row.t for row in df.select(tx.redact(F.col("t"), rules=rules).alias("t")).collect()]
+    assert got == ["x @ y.z", "[REDACTED EMAIL]", "[REDACTED EMAIL]"]

@@ -3,7 +3,10 @@ import re
 import time
 
 from helpers import keyed
+from pyspark.sql import functions as F
 
+from chatloom.functions.hashing import DEFAULT_SALT
+from chatloom.operators import usernames
 from chatloom.operators.usernames import redact_usernames
 
 
@@ -86,3 +89,33 @@ def test_long_text_and_names_of_several_words(spark):
     began = time.monotonic()
     assert run(spark, [text], names) == [model(text, names)]
     assert time.monotonic() - began < 60
+
+
+def test_names_of_one_word_go_in_one_pass(spark):
+    """As the patterns do it one after another, with letters that equal Latin-1 ones without case."""
+    names = ["sam", "Kim", "SAM", "ss", "x_1", "ibis", "user1", "deadbeef", "STRAßE", "Zoë", "år", "sa"]
+    texts = [
+        "Sam sam's SAM, samsam sam_ ſam Kim KIM.\nkim kim",
+        "ss ß ẞ ﬆ X_1-x_1 x_12",
+        "İbis ıBIS ibiś user1 user-sam DeadBeef\U0001f600sam",
+        "straße STRASSE STRAẞE straße- zoë Zoe\u0308 ZOËsam \u212bR sa\u0301m",
+        "sam",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")
+    users = spark.createDataFrame(list(enumerate(names)), "u_idx bigint, username string")
+    table = usernames._name_table(users, DEFAULT_SALT)
+    entries = table.select("key", "width", F.struct("rank", "pattern", "alias", "word").alias("name"), F.lit(True).alias("own"))
+    cands = usernames._candidates(df, "id", "text", entries, [1])
+    assert cands.where("_plain is null or size(_plain) <> size(cands)").count() == 0
+    both = df.join(cands, "id").select(
+        usernames._fold(F.col("text"), F.col("cands")).alias("slow"),
+        usernames._replace_words(F.col("text"), F.col("_plain"), F.col("_aliases")).alias("fast"),
+        "id",
+    ).orderBy("id").collect()
+    assert len(both) == len(texts) and all(row.slow == row.fast for row in both)
+    # One name of several words, or one that an alias holds, and the patterns are applied in turn.
+    for name in ("sam kim", "user", "0123456789ab"):
+        more = spark.createDataFrame([(0, "sam"), (1, name)], "u_idx bigint, username string")
+        found = usernames._name_table(more, DEFAULT_SALT).where(F.col("rank") == 1).first()
+        assert found.word is None
+    assert run(spark, texts, names) == [row.slow for row in both]
